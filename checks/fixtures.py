@@ -19,7 +19,7 @@ MASK = (-72.0 + 10 / 120, 0.0, -72.0 + 40 / 120, 42.0 - 1 / 120)
 BOX = (-72.0 + 20 / 120, 41.0, -72.0 + 40 / 120, 42.0 - 2 / 120)
 # cap of the cost distance on the plain grid, in cell units, and of the cost jobs, in seconds
 COST_CAP = 12.0
-JOB_CAP = 300.0
+JOB_CAP = 2000.0
 
 HIGHWAY = [
     "motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential",
@@ -78,11 +78,11 @@ def dem_files(spark, sf_dir) -> DataFrame:
 
 
 def nodes(spark, sf_dir) -> DataFrame:
-    """One node per cell centre."""
+    """One node per part, in the western 30 columns; the rest of the grid has no roads."""
     key = F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
         key.alias("node_id"),
-        F.round(-72.0 + (key % 50 + 0.5) / 120.0, 7).alias("lon"),
+        F.round(-72.0 + ((key % 50) * 0.6 + 0.5) / 120.0, 7).alias("lon"),
         F.round(42.0 - (F.floor(key / 50.0) + 0.5) / 120.0, 7).alias("lat"),
         F.create_map().cast("map<string,string>").alias("tags"),
     )

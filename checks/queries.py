@@ -414,8 +414,9 @@ def raster_lines(spark, d):
 @query
 def raster_polygons(spark, d):
     ways = osm.roads_and_water(fx.ways(spark, d))
-    edges = features.assemble_polygons(ways, fx.nodes(spark, d)).unionByName(
-        features.rings_to_edges(fx.rings(spark, d)), allowMissingColumns=True
+    rings = fx.rings(spark, d).withColumn("feature_id", F.col("feature_id") + 1000000000)
+    edges = features.fuse(
+        features.assemble_polygons(ways, fx.nodes(spark, d)), features.rings_to_edges(rings)
     )
     return per_cell(raster.rasterize_polygons(edges, fx.GRID))
 

@@ -101,11 +101,15 @@ def color_classes(
     colors = RAMPS[ramp]
     if breaks is None:
         breaks = ramp_breaks(cells, ramp, bins)
-    tagged = cells.where("value is not null").withColumn(
-        "class_index", F.least(classify("value", break_array(breaks)), F.lit(len(colors) - 1))
-    )
+    index = F.least(classify("value", F.col("breaks")), F.lit(len(colors) - 1))
     palette = F.array(*map(F.lit, colors))
-    return tagged.withColumn("color", F.get(palette, F.col("class_index")))
+    return (
+        cells.where("value is not null")
+        .withColumn("breaks", break_array(breaks))
+        .withColumn("class_index", index)
+        .withColumn("color", F.get(palette, F.col("class_index")))
+        .drop("breaks")
+    )
 
 
 def fixed_classes(cells: DataFrame, breaks: tuple[float, float, float] = ROAD_BREAKS) -> DataFrame:

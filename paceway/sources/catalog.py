@@ -119,12 +119,13 @@ def style_tiles(
     (path, zoom, tile_col, tile_row, px array, class_index array); the arrays run in pixel order and
     hold at most tile_size^2 cells.
     """
-    index = F.least(classify("value", breaks), F.lit(palette_size - 1))
+    index = F.least(classify("value", F.col("breaks")), F.lit(palette_size - 1))
     col, row = tile_of("gx", tile_size), tile_of("gy", tile_size)
     px = (F.col("gy") - F.col("tile_row") * tile_size) * tile_size + F.col("gx") - F.col("tile_col") * tile_size
     cell = F.struct(px.cast("int").alias("px"), F.col("class_index"))
     return (
         levels.where("value is not null")
+        .withColumn("breaks", breaks)
         .withColumn("class_index", index)
         .withColumn("tile_col", col)
         .withColumn("tile_row", row)
