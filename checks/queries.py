@@ -328,16 +328,16 @@ def speed_sources(spark, d):
 
 @query
 def speed_notebook(spark, d):
-    return _speeds(
-        spark, d,
-        speed=speed.speed_notebook("highway", "maxspeed"),
-        speed_unsplit=speed.speed_notebook("highway", "maxspeed", literal_split=True),
-    )
+    ways = fx.ways(spark, d)
+    cut = features.notebook_value(ways).withColumnRenamed("value", "speed")
+    both = features.notebook_value(cut, literal_split=True)
+    return rounded(both.select("way_id", "speed", F.col("value").alias("speed_unsplit")), 9)
 
 
 @query
 def speed_notebook_mph(spark, d):
-    return _speeds(spark, d, speed=speed.speed_notebook("highway", "maxspeed", "mph"))
+    ways = features.notebook_value(fx.ways(spark, d), "mph")
+    return rounded(ways.select("way_id", F.col("value").alias("speed")), 9)
 
 
 @query

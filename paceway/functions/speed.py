@@ -130,31 +130,50 @@ def speed_source(highway, maxspeed) -> Column:
     )
 
 
-def max_speed_of(s, text_unit: str, unit: str = "kmh", literal_split: bool = False) -> Column:
+def max_speed_of(s, text_unit, unit: str = "kmh", literal_split: bool = False) -> Column:
     """Largest positive number among the parts of a value, converted to ``unit``; else NULL.
 
+    ``text_unit`` (text or column) is blanked out of each part first and sets the conversion.
     ``literal_split`` cuts only at the four characters ``;|,-`` in a row, which in effect
     never splits; the default cuts at each of ``;``, ``|`` and ``,``.
     """
-    factor = F.lit(TEXT_UNITS[unit].get(text_unit, 1.0))
+    word = F.lit(text_unit) if isinstance(text_unit, str) else text_unit
+    factor = F.coalesce(lookup(word, TEXT_UNITS[unit]), F.lit(1.0))
     parts = F.split(_c(s), r";\|,-" if literal_split else "[;|,]")
-    blank = (lambda p: F.replace(p, F.lit(text_unit), F.lit(""))) if text_unit else (lambda p: p)
-    best = F.array_max(F.transform(parts, lambda p: _number(blank(p)) * factor))
+    best = F.array_max(F.transform(parts, lambda p: _number(F.replace(p, word, F.lit(""))))) * factor
     return F.when(best > 0, best)
 
 
-def speed_notebook(highway, maxspeed, unit: str = "kmh", literal_split: bool = False) -> Column:
-    """Speed from free text: number, number with unit, country code (km/h only), else class."""
-    s = F.lower(_strip(F.coalesce(_c(maxspeed), F.lit(""))))
-    base = class_speed(highway, unit)
+def plain_text(maxspeed) -> Column:
+    """Lower case without blanks around; a missing value counts as empty."""
+    return F.lower(_strip(F.coalesce(_c(maxspeed), F.lit(""))))
+
+
+def text_unit_of(s, unit: str = "kmh") -> Column:
+    """First known unit that occurs in the text, else the empty text."""
+    found = F.when(F.lit(False), "")
+    for word in TEXT_UNITS[unit]:
+        found = found.when(F.contains(_c(s), F.lit(word)), word)
+    return found.otherwise("")
+
 
-    def parts(text_unit):
-        return F.coalesce(max_speed_of(s, text_unit, unit, literal_split), base)
+def speed_of_text(s, text_unit, base, unit: str = "kmh", literal_split: bool = False) -> Column:
+    """Speed from plain text ``s``, its unit and the class default ``base``.
 
-    speed = F.when(s == "", base).when(is_number(s), _number(s))
-    for text_unit in TEXT_UNITS[unit]:
-        speed = speed.when(F.contains(s, F.lit(text_unit)), parts(text_unit))
+    Given as columns of their own, the three are worked out once per row.
+    """
+    s, text_unit, base = _c(s), _c(text_unit), _c(base)
+    number = _number(s)
+    bare = text_unit == ""
+    speed = F.when(s == "", base).when(number.isNotNull(), F.when(number > 0, number).otherwise(base))
     if unit == "kmh":
-        speed = speed.when(country_speed(s).isNotNull(), country_speed(s))
-    speed = speed.when(s.isin(*NO_INFORMATION), base).otherwise(parts(""))
-    return F.when(speed <= 0, base).otherwise(speed)
+        code = country_speed(s)
+        speed = speed.when(bare & code.isNotNull(), code)
+    speed = speed.when(bare & s.isin(*NO_INFORMATION), base)
+    return speed.otherwise(F.coalesce(max_speed_of(s, text_unit, unit, literal_split), base))
+
+
+def speed_notebook(highway, maxspeed, unit: str = "kmh", literal_split: bool = False) -> Column:
+    """Speed from free text: number, number with unit, country code (km/h only), else class."""
+    s = plain_text(maxspeed)
+    return speed_of_text(s, text_unit_of(s, unit), class_speed(highway, unit), unit, literal_split)

@@ -40,8 +40,15 @@ def chain_value(features: DataFrame) -> DataFrame:
 
 
 def notebook_value(features: DataFrame, unit: str = "kmh", literal_split: bool = False) -> DataFrame:
-    v = speed.speed_notebook(tag("highway"), tag("maxspeed"), unit, literal_split)
-    return features.withColumn("value", v).withColumn("z", F.col("value"))
+    """Speed from free text as value and z. Step by step, so that each part is worked out once."""
+    return (
+        features.withColumn("_text", speed.plain_text(tag("maxspeed")))
+        .withColumn("_unit", speed.text_unit_of("_text", unit))
+        .withColumn("_base", speed.class_speed(tag("highway"), unit))
+        .withColumn("value", speed.speed_of_text("_text", "_unit", "_base", unit, literal_split))
+        .drop("_text", "_unit", "_base")
+        .withColumn("z", F.col("value"))
+    )
 
 
 def speed_sources(highways: DataFrame) -> DataFrame:
