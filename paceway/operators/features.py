@@ -137,9 +137,13 @@ def link_references(refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] =
     seen = F.when(own == 0, F.array(F.lit(0))).otherwise(F.array(own - 1, own))
     group = Window.partitionBy("way_id", "stretch").orderBy("seq")
     step = F.lead(F.struct("lon", "lat", "seq")).over(group)
+    # a stated number of partitions is kept as it is: an edge of few bytes may become many cells,
+    # so merging partitions by the size of their edges would starve the burning that follows
+    parts = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         placed.withColumn("own", own)
         .withColumn("stretch", F.explode(seen))
+        .repartition(parts, "way_id", "stretch")
         .withColumn("step", step)
         .where(
             (F.col("stretch") == F.col("own"))

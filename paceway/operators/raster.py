@@ -11,6 +11,8 @@ from paceway.meta import LayerMeta
 
 # steps of a long edge taken by one row before the next row takes over
 STEPS = 4096
+# grid rows of a polygon handled together
+BAND = 16
 
 
 def tile_keys(cells: DataFrame, meta: LayerMeta) -> DataFrame:
@@ -55,20 +57,24 @@ def rasterize_lines(edges: DataFrame, meta: LayerMeta, carry: tuple[str, ...] =
 
 
 def rasterize_polygons(edges: DataFrame, meta: LayerMeta, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Cells whose centre lies in a ring by the even-odd rule.
+    """Cells whose centre lies in a ring by the even-odd rule; ``carry`` is constant per feature.
 
     Every edge crosses the centre line of some rows; each crossing toggles the fill from one cell
-    on. Crossings are pre-aggregated to their parity per (feature, row, cell) and clamped
-    to the layer, so the window that pairs them holds at most one row per grid column, whatever the ring.
+    on. Edges are first cut by bands of rows and shuffled once by (feature, band), which spreads
+    a huge polygon over many tasks; the far more numerous crossings are only made after that, and run
+    straight into a count per (feature, row, cell), whose state has at most ``BAND * (columns + 1)``
+    entries per band however many edges there are. Pairing the odd ones needs no further shuffle.
     """
     x0, y0, x1, y1 = (F.col(c) for c in ("u0", "v0", "u1", "v1"))
-    top, bottom = F.least(y0, y1), F.greatest(y0, y1)
-    first = F.greatest(F.lit(0), F.ceil(top - 0.5).cast("int"))
-    last = F.least(F.lit(meta.rows - 1), F.ceil(bottom - 0.5).cast("int") - 1)
+    first = F.greatest(F.lit(0), F.ceil(F.least(y0, y1) - 0.5).cast("int"))
+    last = F.least(F.lit(meta.rows - 1), F.ceil(F.greatest(y0, y1) - 0.5).cast("int") - 1)
+    band_of = lambda c: F.floor(F.col(c) / float(BAND)).cast("int")
+    start = F.greatest(F.col("first"), F.col("band") * BAND)
+    stop = F.least(F.col("last"), F.col("band") * BAND + (BAND - 1))
     crossing = x0 + (F.col("gy") + 0.5 - y0) * (x1 - x0) / (y1 - y0)
     toggle = F.least(F.greatest(F.ceil(crossing - 0.5).cast("int"), F.lit(0)), F.lit(meta.cols))
-    start = F.col("first") + F.col("piece") * STEPS
-    crossings = (
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    banded = (
         edges.select(
             "feature_id",
             *carry,
@@ -80,13 +86,18 @@ def rasterize_polygons(edges: DataFrame, meta: LayerMeta, carry: tuple[str, ...]
         .withColumn("first", first)
         .withColumn("last", last)
         .where("first <= last")
-        .withColumn("piece", F.explode(_steps(F.col("last") - F.col("first"))))
-        .withColumn("gy", F.explode(F.sequence(start, F.least(F.col("last"), start + (STEPS - 1)))))
-        .select("feature_id", *carry, "gy", toggle.alias("gx"))
+        .withColumn("band", F.explode(F.sequence(band_of("first"), band_of("last"))))
+        .repartition(parts, "feature_id", "band")
+    )
+    crossings = banded.withColumn("gy", F.explode(F.sequence(start, stop))).select(
+        "feature_id", "band", *carry, "gy", toggle.alias("gx")
+    )
+    keys = ["feature_id", "band", "gy"]
+    odd = (
+        crossings.groupBy(*keys, "gx")
+        .agg(F.count("*").alias("n"), *(F.any_value(c).alias(c) for c in carry))
+        .where("n % 2 = 1")
     )
-    keys = ["feature_id", *carry, "gy"]
-    # parity first, with map-side combine; only its short result is gathered by feature and row
-    odd = crossings.groupBy(*keys, "gx").agg(F.count("*").alias("n")).where("n % 2 = 1")
     along = Window.partitionBy(*keys).orderBy("gx")
     return (
         odd.withColumn("stop", F.lead("gx").over(along))
