@@ -166,7 +166,8 @@ def cast_value(value, cell_type: str, overflow: str = "wrap") -> Column:
     if overflow == "wrap":
         whole = F.pmod(whole + half, F.lit(2 * half)) - half
     elif overflow == "saturate":
-        whole = F.least(F.greatest(whole, F.lit(-half)), F.lit(half - 1))
+        bound = F.least(F.greatest(whole, F.lit(-half)), F.lit(half - 1))
+        whole = F.when(whole.isNotNull(), bound)  # greatest() would turn NODATA into the bound
     elif overflow == "null":
         whole = F.when(whole.between(-half, half - 1), whole)
     else:
