@@ -9,13 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceway.functions.grid import col_of, inside, row_of
+from paceway.functions.grid import col_of, inside, row_of, z2
 from paceway.meta import LayerMeta
 from paceway.operators.focal import buffer_tiles
 from paceway.operators.raster import tile_keys
-from paceway.runtime import cut
+from paceway.runtime import cut, fresh_dir
 
 _TILE = ["tile_col", "tile_row"]
+# about how many blocks of tiles a layer is cut in, and how many may be named to a reader
+BLOCKS = 4096
+FEW = 1000
 
 
 def _spread_in_tile(pace, at, start, side: int, cell_w: float, cell_h: float, max_cost: float):
@@ -77,23 +80,30 @@ def _solver(meta: LayerMeta, max_cost: float, ring: bool):
     return solve
 
 
+def _block(meta: LayerMeta):
+    """Number of a square block of tiles, at most about ``BLOCKS`` of them on the whole layer."""
+    tiles = max(meta.tile_cols, meta.tile_rows)
+    bits = max(0, 2 * math.ceil(math.log2(tiles)) - int(math.log2(BLOCKS)))
+    return F.shiftright(z2(), bits).cast("int")
+
+
 def friction_tiles(friction: DataFrame, meta: LayerMeta) -> DataFrame:
-    """Passable cells by tile, each tile with a ring of one cell: (tile_col, tile_row, at, pace).
+    """Passable cells by tile, each tile with a ring of one cell: (block, tile_col, tile_row, at, pace).
 
-    A tile gathers at most (tile_size + 2)^2 cells. The partition count is stated so that it stays
-    what later joins on the tile key ask for.
+    A tile gathers at most (tile_size + 2)^2 cells. Tiles lie along the z-curve, which keeps the
+    tiles of a block together; that ordering and the gathering share one shuffle.
     """
-    parts = int(friction.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     t, side = meta.tile_size, meta.tile_size + 2
     place = (F.col("gy") - F.col("tile_row") * t + 1) * side + (F.col("gx") - F.col("tile_col") * t + 1)
     known = friction.where("value is not null").select("gx", "gy", F.col("value").cast("double"))
     cell = F.struct(place.cast("int").alias("at"), F.col("value").alias("pace"))
     return (
         buffer_tiles(known, meta, 1)
-        .repartition(parts, *_TILE)
-        .groupBy(*_TILE)
+        .withColumn("z2", z2())
+        .repartitionByRange("z2")
+        .groupBy("z2", *_TILE)
         .agg(F.collect_list(cell).alias("cells"))
-        .select(*_TILE, F.col("cells.at").alias("at"), F.col("cells.pace").alias("pace"))
+        .select(_block(meta).alias("block"), *_TILE, F.col("cells.at").alias("at"), F.col("cells.pace").alias("pace"))
     )
 
 
@@ -106,16 +116,20 @@ def cost_distance(
     are ignored. Cells farther than ``max_cost`` have no row.
 
     The grid is cut in tiles. A round solves, for every tile that got a better cost at
-    its border, the whole tile at once and passes costs on to the cells around it, so the number of rounds
-    follows the tiles on a path, not its cells. What is kept between rounds is only the best cost
-    of border cells, checkpointed each round; tiles stay where their hash puts them and only these
-    costs are shuffled. The loop on the driver sees one flag per round.
+    its border, the whole tile at once and passes costs on to the cells around it, so the number of
+    rounds follows the tiles on a path, not its cells. What is kept between rounds is only the best
+    cost of border cells, checkpointed each round. Tiles are written once to the shared folder by
+    block, and a round reads the blocks the wave is in. The loop on the driver sees their
+    numbers, up to ``FEW``; a wider wave reads all blocks.
     """
-    t, side = meta.tile_size, meta.tile_size + 2
-    tiles = cut(friction_tiles(friction, meta))
+    spark, t, side = friction.sparkSession, meta.tile_size, meta.tile_size + 2
+    path = fresh_dir(spark, "friction")
+    made = friction_tiles(friction, meta)
+    made.write.partitionBy("block").parquet(path)
+    tiles = spark.read.schema(made.schema).parquet(path)
     place = (F.col("gy") - F.col("tile_row") * t + 1) * side + (F.col("gx") - F.col("tile_col") * t + 1)
 
-    def solve(known: DataFrame, ring: bool) -> DataFrame:
+    def solve(known: DataFrame, tiles: DataFrame, ring: bool) -> DataFrame:
         seed = F.struct(place.cast("int").alias("at"), F.col("cost"))
         seeds = (
             tile_keys(known, meta)
@@ -129,17 +143,22 @@ def cost_distance(
             _solver(meta, float(max_cost), ring), "gx int, gy int, cost double"
         )
 
-    start = sources.select("gx", "gy").distinct()
+    def active(known: DataFrame) -> list[int]:
+        fresh = tile_keys(known.where("fresh"), meta).select(_block(meta).alias("block"))
+        return [r["block"] for r in fresh.distinct().limit(FEW + 1).collect()]
+
+    start = sources.where(inside(meta)).select("gx", "gy").distinct()
     best = cut(start.select("gx", "gy", F.lit(0.0).alias("cost"), F.lit(True).alias("fresh")))
-    while not best.where("fresh").isEmpty():
+    while blocks := active(best):
+        near = tiles.where(F.col("block").isin(blocks)) if len(blocks) <= FEW else tiles
         known = best.select("gx", "gy", "cost", F.lit(True).alias("old"))
-        found = solve(best, ring=True).select("gx", "gy", "cost", F.lit(False).alias("old"))
+        found = solve(best, near, ring=True).select("gx", "gy", "cost", F.lit(False).alias("old"))
         merged = known.unionByName(found).groupBy("gx", "gy").agg(
             F.min("cost").alias("cost"), F.min(F.when(F.col("old"), F.col("cost"))).alias("before")
         )
         fresh = F.col("before").isNull() | (F.col("cost") < F.col("before"))
         best = cut(merged.select("gx", "gy", "cost", fresh.alias("fresh")))
-    return solve(best, ring=False).withColumnRenamed("cost", "value")
+    return solve(best, tiles, ring=False).withColumnRenamed("cost", "value")
 
 
 def point_cells(points: DataFrame, meta: LayerMeta) -> DataFrame:
