@@ -163,7 +163,7 @@ def speed_of_text(s, text_unit, base, unit: str = "kmh", literal_split: bool = F
     Given as columns of their own, the three are worked out once per row.
     """
     s, text_unit, base = _c(s), _c(text_unit), _c(base)
-    number = _number(s)
+    number = F.when(s.rlike(NUMBER), s.try_cast("double"))
     bare = text_unit == ""
     speed = F.when(s == "", base).when(number.isNotNull(), F.when(number > 0, number).otherwise(base))
     if unit == "kmh":

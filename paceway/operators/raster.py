@@ -49,10 +49,13 @@ def rasterize_lines(edges: DataFrame, meta: LayerMeta, carry: tuple[str, ...] =
             row_of("y1", meta).alias("r1"),
         )
         .withColumn("n", n)
+        # an edge with both ends on the layer stays on it: no test per cell
+        .withColumn("whole", inside(meta, "c0", "r0") & inside(meta, "c1", "r1"))
         .withColumn("piece", F.explode(_steps(F.col("n"))))
         .withColumn("i", F.explode(F.sequence(first, F.least(F.col("n"), first + (STEPS - 1)))))
-        .select("feature_id", *carry, at("c0", "c1").alias("gx"), at("r0", "r1").alias("gy"))
-        .where(inside(meta))
+        .select("feature_id", *carry, "whole", at("c0", "c1").alias("gx"), at("r0", "r1").alias("gy"))
+        .where(F.col("whole") | inside(meta))
+        .drop("whole")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paceway.functions.grid import lat_of, lon_of, mercator_x, mercator_y
 from paceway.meta import LATLNG, MERCATOR, MERCATOR_EDGE, LayerMeta
+from paceway.runtime import cut
 
 # weights below this are rounding noise of the projection
 TINY_WEIGHT = 1e-9
@@ -208,15 +209,16 @@ def pyramid(
 ) -> DataFrame:
     """All levels from ``base_zoom`` down to ``to_zoom`` as (zoom, gx, gy, value).
 
-    Every level is built from the one above it, and the shuffle of a level is reused by all
-    coarser ones, so the whole pyramid costs about a third more than its first step.
+    Every level is built from the one above it and checkpointed, so it is computed once whatever
+    reads it later: all levels together are a third of the base, and each costs one shuffle of
+    partial aggregates. The base itself is read twice; persist it if it is costly.
     """
     if to_zoom > base_zoom:
         raise ValueError("to_zoom must not exceed base_zoom")
     level, levels = base.where("value is not null").select("gx", "gy", "value"), None
     for zoom in range(base_zoom, to_zoom - 1, -1):
         if zoom < base_zoom:
-            level = coarsen(level, method)
+            level = cut(coarsen(level, method))
         rows = level.select(F.lit(zoom).alias("zoom"), "gx", "gy", "value")
         levels = rows if levels is None else levels.unionByName(rows)
     return levels

@@ -209,21 +209,29 @@ def adjusted_travel_cost(
     ``flowlines(way_id, refs, ftype, stream_order)``; elevation and cover share the grid ``meta``
     and are cut to ``extent``; path speeds are whole numbers, as their layer is int8.
     """
-    nodes = osm.nodes_of(elements)
+    nodes, kept = osm.nodes_of(elements), []
     roads, paths = features.split_roads_paths(osm.highways(osm.ways_of(elements)))
+    wanted = features.notebook_value(roads, "mph").withColumn("walked", F.lit(False)).unionByName(
+        features.const_value(paths).withColumn("walked", F.lit(True))
+    )
+    # roads and paths are assembled and burnt together: one join with the nodes, one grouping
+    edges = features.assemble_lines(wanted, nodes, ("value", "walked"))
+    burnt = raster.rasterize_lines(edges, meta, ("value", "walked")).groupBy("gx", "gy").agg(
+        F.max(F.when(~F.col("walked"), F.col("value"))).alias("road"),
+        F.max(F.when(F.col("walked"), F.col("value"))).alias("path"),
+    )
+    burnt = _keep(burnt, kept)
 
-    def lines(ways: DataFrame, kind: str) -> DataFrame:
-        edges = features.assemble_lines(ways, nodes, ("value",))
-        return raster.rasterize_features(edges, meta, kind, lines_only=True)
+    def layer(name: str, kind: str) -> DataFrame:
+        cells = burnt.where(F.col(name).isNotNull()).select("gx", "gy", F.col(name).alias("value"))
+        return raster.cast_cells(cells, kind)
 
-    road_cells = lines(features.notebook_value(roads, "mph"), cell_type)
-    path_cells = lines(features.const_value(paths), "int8")
     flows = features.order_weight(features.valid_order(features.filter_ftype(flowlines)))
     flow_edges = features.link_references(features.references(flows, ("value",)), nodes, ("value",))
     flow_cells = raster.rasterize_features(flow_edges, meta, "float64", lines_only=True)
     cover_cells = local.reclassify(local.mask_extent(cover, meta, extent))
     ground = raster.convert(local.mask_extent(elevation, meta, extent), "float32", 0.0)
     walk = local.tobler(focal.slope(ground, meta))
-    adjusted = local.adjusted_speed(walk, flow_cells, cover_cells, path_cells)
-    friction = local.local_max(adjusted, road_cells, fill=0.0)
-    return _cost_of(friction, points, meta, 3.74, max_cost, 0.0, tile_size, [])
+    adjusted = local.adjusted_speed(walk, flow_cells, cover_cells, layer("path", "int8"))
+    friction = local.local_max(adjusted, layer("road", cell_type), fill=0.0)
+    return _cost_of(friction, points, meta, 3.74, max_cost, 0.0, tile_size, kept)
