@@ -7,6 +7,7 @@ from dataclasses import asdict, dataclass, replace
 
 EARTH_RADIUS = 6378137.0
 MERCATOR_EDGE = math.pi * EARTH_RADIUS
+MERCATOR_LAT = math.degrees(2 * math.atan(math.exp(math.pi)) - math.pi / 2)  # edge of the square map
 LATLNG = "EPSG:4326"
 MERCATOR = "EPSG:3857"
 WORLD = {
@@ -107,8 +108,8 @@ def target_zoom(meta: LayerMeta, extent=None) -> int:
     """Web Mercator zoom whose cells come nearest to keeping the diagonal cell count of ``extent``."""
     x0, y0, x1, y1 = extent or meta.extent
     cols, rows = (x1 - x0) / meta.cell_w, (y1 - y0) / meta.cell_h
-    mx0, my0 = mercator_point(x0, y0)
-    mx1, my1 = mercator_point(x1, y1)
+    mx0, my0 = mercator_point(x0, max(y0, -MERCATOR_LAT))
+    mx1, my1 = mercator_point(x1, min(y1, MERCATOR_LAT))
     size = math.hypot(mx1 - mx0, my1 - my0) / math.hypot(cols, rows)
     finest = 2 * MERCATOR_EDGE / 256
     z = max(0, math.floor(math.log2(finest / size)))

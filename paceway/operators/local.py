@@ -71,25 +71,18 @@ def local_sub(a: DataFrame, b: DataFrame) -> DataFrame:
 def adjusted_speed(
     walk: DataFrame, streams: DataFrame, cover: DataFrame, paths: DataFrame
 ) -> DataFrame:
-    """(walk + streams + cover) - paths in one grouping instead of three joins.
+    """(walk + streams + cover) - paths on the cells of walk.
 
     Streams and paths are raw layers: their empty cells hold 0. Walk and cover must both be known.
+    Walk, streams and paths come out of groupings on the cell key and are joined where they are; only
+    land cover, read from storage, is shuffled. (A union of all four would shuffle walk once more.)
     """
-    parts = [("w", walk), ("s", streams), ("c", cover), ("p", paths)]
-    rows = None
-    for name, layer in parts:
-        part = layer.select(*KEY, F.lit(name).alias("part"), F.col("value").cast("double"))
-        rows = part if rows is None else rows.unionByName(part)
-
-    def of(name: str) -> Column:
-        return F.sum(F.when(F.col("part") == name, F.col("value"))).alias(name)
-
-    sums = rows.groupBy(*KEY).agg(*(of(name) for name, _ in parts), F.max(F.col("part") == "w").alias("here"))
+    out = walk.select(*KEY, F.col("value").alias("w"))
+    for name, layer in (("s", streams), ("p", paths), ("c", cover)):
+        out = out.join(layer.select(*KEY, F.col("value").cast("double").alias(name)), KEY, "left")
     zero = F.lit(0.0)
-    value = (
-        F.col("w") + F.coalesce("s", zero) + F.col("c")
-    ) - F.coalesce("p", zero)
-    return sums.where("here").select(*KEY, value.alias("value"))
+    total = F.col("w") + F.coalesce("s", zero) + F.col("c")
+    return _apply(out, total - F.coalesce("p", zero))
 
 
 def scalar_div(k: float, cells: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceway.functions.grid import lat_of, lon_of, mercator_x, mercator_y
-from paceway.meta import LATLNG, MERCATOR, MERCATOR_EDGE, LayerMeta
+from paceway.meta import LATLNG, MERCATOR, MERCATOR_EDGE, MERCATOR_LAT, LayerMeta
 from paceway.runtime import cut
 
 # weights below this are rounding noise of the projection
@@ -171,6 +171,7 @@ def target_zoom(bounds: DataFrame, meta: LayerMeta) -> DataFrame:
     x1 = F.lit(meta.xmin) + (F.col("gx1") + 1) * F.lit(meta.cell_w)
     y0 = F.lit(meta.ymax) - (F.col("gy1") + 1) * F.lit(meta.cell_h)
     y1 = F.lit(meta.ymax) - F.col("gy0") * F.lit(meta.cell_h)
+    y0, y1 = F.greatest(y0, F.lit(-MERCATOR_LAT)), F.least(y1, F.lit(MERCATOR_LAT))
     diagonal = F.hypot(mercator_x(x1) - mercator_x(x0), mercator_y(y1) - mercator_y(y0))
     cells = F.hypot(
         (F.col("gx1") - F.col("gx0") + 1).cast("double"), (F.col("gy1") - F.col("gy0") + 1).cast("double")

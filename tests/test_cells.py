@@ -131,7 +131,7 @@ def test_pyramid_levels_are_cut(cells):
 
 
 def test_zoom_choice_agrees(spark):
-    for meta in (GRID, LayerMeta(LATLNG, -72, 40, -71, 42, 1 / 120, 1 / 120), LayerMeta(LATLNG, 5, -60, 9, -50, 0.01, 0.02)):
+    for meta in (GRID, LayerMeta(LATLNG, -72, 40, -71, 42, 1 / 120, 1 / 120), LayerMeta(LATLNG, 5, -60, 9, -50, 0.01, 0.02), layout_for_zoom(3)):
         bounds = spark.createDataFrame([(0, 0, meta.cols - 1, meta.rows - 1)], "gx0 int, gy0 int, gx1 int, gy1 int")
         assert warp.target_zoom(bounds, meta).first()["zoom"] == target_zoom(meta)
 
@@ -163,3 +163,33 @@ def test_colours_reach_the_last(cells):
     assert rows[0]["class_index"] == 0 and rows[99]["class_index"] == 9
     assert rows[99]["color"] == stats.RAMPS["viridis"][-1]
     assert all(len(c) == 10 for c in stats.RAMPS.values())
+
+
+def test_stream_classes(cells, as_dict):
+    got = {r["gx"]: r["class_index"] for r in stats.fixed_classes(cells({(0, 0): 0.05, (1, 0): 0.15, (2, 0): 0.95, (3, 0): 7, (4, 0): None}), stats.STREAM_BREAKS).collect()}
+    assert got == {0: 0, 1: 1, 2: 9, 3: 10}
+
+
+def test_tiny_run_keeps_californian_tiles(spark):
+    from paceway.plans import jobs
+
+    meta = layout_for_zoom(2, tile_size=16)
+    world = spark.range(64 * 64).select((F.col("id") % 64).cast("int").alias("gx"), F.floor(F.col("id") / 64).cast("int").alias("gy"), F.lit(0).alias("band"), (F.col("id") % 2).cast("double").alias("value"))
+    rows = jobs.elevation_layer(world, meta, tiny=True).collect()
+    assert {(r["gx"] // 16, r["gy"] // 16) for r in rows} == {(0, 1)}
+    assert {r["value"] for r in rows} == {None, 1.0} and "band" not in rows[0]
+    with pytest.raises(ValueError):
+        jobs.friction_pyramid(world, world, meta, partitions=0)
+
+
+def test_joins_of_burnt_layers_add_no_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layer = spark.range(5000).select((F.col("id") % 70).cast("int").alias("gx"), (F.col("id") % 50).cast("int").alias("gy"), F.col("id").cast("double").alias("value"))
+        walk = focal.slope(layer, GRID.with_(xmax=70.0, ymin=-38.0))
+        merged = local.merge_max(local.tobler(walk), raster.burn(layer))
+        merged = local.local_max(merged, raster.burn(layer.withColumn("value", F.lit(1.0))), fill=0.0)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3  # one per grouping
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
