@@ -84,25 +84,22 @@ def _solver(meta: LayerMeta, max_cost: float, ring: bool):
 
 
 def _dense(side: int):
-    """Batch function: listed cells of a tile to one block of bytes, which moves as a whole."""
+    """Group function: the cells of one tile to one block of bytes, which moves as a whole."""
 
-    def pack(batches):
-        for batch in batches:
-            rows = []
-            for tile in batch.itertuples(index=False):
-                pace = np.full(side * side, np.nan)
-                pace[np.asarray(tile.at, dtype=np.int64)] = tile.pace
-                rows.append((tile.block, tile.tile_col, tile.tile_row, pace.tobytes()))
-            yield pd.DataFrame(rows, columns=["block", *_TILE, "pace"])
+    def pack(tile: pd.DataFrame) -> pd.DataFrame:
+        pace = np.full(side * side, np.nan)
+        pace[tile["at"].to_numpy()] = tile["value"].to_numpy()
+        out = tile[["block", *_TILE]].head(1)
+        return out.assign(pace=[pace.tobytes()])
 
     return pack
 
 
-def _block(meta: LayerMeta):
+def _block(meta: LayerMeta, z="z2"):
     """Number of a square block of tiles, at most about ``BLOCKS`` of them on the whole layer."""
     tiles = max(meta.tile_cols, meta.tile_rows)
     bits = max(0, 2 * math.ceil(math.log2(tiles)) - int(math.log2(BLOCKS)))
-    return F.shiftright(z2(), bits).cast("int")
+    return F.shiftright(z, bits).cast("int")
 
 
 def friction_tiles(friction: DataFrame, meta: LayerMeta) -> DataFrame:
@@ -115,15 +112,13 @@ def friction_tiles(friction: DataFrame, meta: LayerMeta) -> DataFrame:
     t, side = meta.tile_size, meta.tile_size + 2
     place = (F.col("gy") - F.col("tile_row") * t + 1) * side + (F.col("gx") - F.col("tile_col") * t + 1)
     known = friction.where("value is not null").select("gx", "gy", F.col("value").cast("double"))
-    cell = F.struct(place.cast("int").alias("at"), F.col("value").alias("pace"))
     return (
         buffer_tiles(known, meta, 1)
-        .withColumn("z2", z2())
+        .select(*_TILE, z2().alias("z2"), place.cast("int").alias("at"), "value")
         .repartitionByRange("z2")
-        .groupBy("z2", *_TILE)
-        .agg(F.collect_list(cell).alias("cells"))
-        .select(_block(meta).alias("block"), *_TILE, F.col("cells.at").alias("at"), F.col("cells.pace").alias("pace"))
-        .mapInPandas(_dense(side), "block int, tile_col int, tile_row int, pace binary")
+        .withColumn("block", _block(meta))
+        .groupBy("z2", "block", *_TILE)
+        .applyInPandas(_dense(side), "block int, tile_col int, tile_row int, pace binary")
     )
 
 
@@ -174,7 +169,7 @@ def cost_distance(
         return cut(best.select(*_TILE, "gx", "gy", "cost", fresh.alias("fresh")))
 
     def active(best: DataFrame) -> list[int]:
-        fresh = best.where("fresh").select(_block(meta).alias("block"))
+        fresh = best.where("fresh").select(_block(meta, z2()).alias("block"))
         return [r["block"] for r in fresh.distinct().limit(FEW + 1).collect()]
 
     start = sources.where(inside(meta)).select("gx", "gy").distinct()
