@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paceway.functions.grid import _c, col_of, inside, row_of, tile_of
 from paceway.meta import LayerMeta
+from paceway.operators.layout import partition_tiles
 
 # steps of a long edge taken by one row before the next row takes over
 STEPS = 4096
@@ -139,10 +140,15 @@ def rasterize_features(
     overflow: str = "wrap",
     lines_only: bool = False,
 ) -> DataFrame:
-    """Burnt layer of features whose value is its own z-order, in a cell type."""
+    """Burnt layer of features whose value is its own z-order, in a cell type.
+
+    ``num_partitions`` puts whole tiles on that many partitions, at the price of a shuffle.
+    """
     cells = rasterize_lines(features, meta, ("value",)) if lines_only else rasterize(features, meta)
     layer = cast_cells(burn(cells), cell_type, overflow)
-    return layer.repartition(num_partitions, "gx", "gy") if num_partitions else layer
+    if num_partitions:
+        layer = partition_tiles(tile_keys(layer, meta), num_partitions).select("gx", "gy", "value")
+    return layer
 
 
 # ---- cell types ------------------------------------------------------------------------------

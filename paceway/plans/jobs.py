@@ -6,6 +6,7 @@ Every job takes DataFrames (or paths via ``paceway.sources``) and keyword parame
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -42,11 +43,17 @@ def _keep(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
     return kept[-1]
 
 
-def _shuffle_width(df: DataFrame, partitions: int | None) -> None:
-    """Shuffle partitions of the session, if the caller states a number; adaptive execution merges
-    small ones."""
+@contextmanager
+def _shuffle_width(df: DataFrame, partitions: int | None):
+    """Shuffle partitions while a job runs, if the caller states a number."""
+    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
     if partitions is not None:
-        df.sparkSession.conf.set("spark.sql.shuffle.partitions", positive("partitions", partitions))
+        conf.set(key, str(positive("partitions", partitions)))
+    try:
+        yield
+    finally:
+        conf.set(key, before)
 
 
 def _mercator_layout(cells: DataFrame, meta: LayerMeta, tile_size: int) -> LayerMeta:
@@ -85,13 +92,14 @@ def friction_pyramid(
     tiny: bool = False, method: str = "nearest", cell_type: str = "float64", tile_size: int = 256,
 ) -> Surface:
     """Friction surface in Web Mercator with all coarser zooms."""
-    _shuffle_width(elements, partitions)
     kept: list[DataFrame] = []
-    merged = _keep(friction_surface(elements, elevation, meta, tiny=tiny, cell_type=cell_type), kept)
-    dst = _mercator_layout(merged, meta, tile_size)
-    base = warp.reproject_bilinear(merged, meta, dst)
-    base = _keep(base, kept)
-    return Surface(base, dst, warp.pyramid(base, dst.zoom, 0, method), kept=kept)
+    with _shuffle_width(elements, partitions):
+        merged = friction_surface(elements, elevation, meta, tiny=tiny, cell_type=cell_type)
+        merged = _keep(merged, kept)
+        dst = _mercator_layout(merged, meta, tile_size)
+        base = _keep(warp.reproject_bilinear(merged, meta, dst), kept)
+        levels = warp.pyramid(base, dst.zoom, 0, method)
+    return Surface(base, dst, levels, kept=kept)
 
 
 def save_friction_pyramid(
@@ -128,11 +136,8 @@ def render_friction_tiles(
 
 
 # ---- presence of roads and water ----------------------------------------------------------------
-def presence_layer(
-    elements: DataFrame, meta: LayerMeta | None = None, *, partitions: int | None = None
-) -> Surface:
+def presence_layer(elements: DataFrame, meta: LayerMeta | None = None) -> Surface:
     """2 on roads, 1 on water, at zoom 13 unless another layout is given."""
-    _shuffle_width(elements, partitions)
     meta = meta or layout_for_zoom(13)
     elements = osm.patch_visible(elements)
     ways = features.presence_value(osm.roads_and_water(osm.ways_of(elements)))
@@ -142,9 +147,13 @@ def presence_layer(
     return Surface(base, meta.with_(cell_type="int8"), kept=kept)
 
 
-def save_presence_layer(elements: DataFrame, path: str, layer: str, meta: LayerMeta | None = None, **kw) -> Surface:
-    out = presence_layer(elements, meta, **kw)
-    catalog.save_layer(out.base, out.meta, path, layer)
+def save_presence_layer(
+    elements: DataFrame, path: str, layer: str, meta: LayerMeta | None = None, *,
+    partitions: int | None = None,
+) -> Surface:
+    with _shuffle_width(elements, partitions):
+        out = presence_layer(elements, meta)
+        catalog.save_layer(out.base, out.meta, path, layer)
     return out
 
 

@@ -138,3 +138,14 @@ def test_stream_orders(spark):
     kept = features.valid_order(features.filter_ftype(flow))
     assert [(r["stream_order"], r["value"]) for r in features.order_weight(kept).collect()] == [("0", 0.0), ("6", 0.1)]
     assert [tuple(r) for r in features.order_report(kept).collect()] == [("7", 1)]
+
+
+def test_lines_and_polygons_share_the_assembly(spark):
+    """Both branches of the burning read the same linked references."""
+    ways = spark.createDataFrame([(1, {"waterway": "river"}, [1, 2, 3, 1]), (2, {"highway": "road"}, [1, 2])], WAYS)
+    spots = nodes(spark, {1: (1, 1), 2: (9, 1), 3: (5, 9)})
+    shapes = features.assemble_features(features.presence_value(ways), spots, ("value",))
+    layer = raster.rasterize_features(shapes, GRID, "int8", num_partitions=3)
+    got = {(r["gx"], r["gy"]): r["value"] for r in layer.collect()}
+    assert set(got.values()) == {1, 2} and got[(5, 19)] == 2 and got[(5, 15)] == 1
+    assert "ReusedExchange" in layer._jdf.queryExecution().executedPlan().toString()
