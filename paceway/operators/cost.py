@@ -168,18 +168,22 @@ def cost_distance(
         fresh = F.col("before").isNull() | (F.col("cost") < F.col("before"))
         return cut(best.select(*_TILE, "gx", "gy", "cost", fresh.alias("fresh")))
 
-    def active(best: DataFrame) -> list[int]:
-        fresh = best.where("fresh").select(_block(meta, z2()).alias("block"))
-        return [r["block"] for r in fresh.distinct().limit(FEW + 1).collect()]
+    def around(costs: DataFrame) -> tuple[bool, DataFrame]:
+        """Whether there are any costs, and the tiles of the blocks they lie in."""
+        rows = costs.select(_block(meta, z2()).alias("block")).distinct().limit(FEW + 1).collect()
+        few = tiles.where(F.col("block").isin([r["block"] for r in rows]))
+        return bool(rows), few if len(rows) <= FEW else tiles
 
     start = sources.where(inside(meta)).select("gx", "gy").distinct()
     best = settle(start.select("gx", "gy", F.lit(0.0).alias("cost"), F.lit(False).alias("old")))
-    while blocks := active(best):
-        near = tiles.where(F.col("block").isin(blocks)) if len(blocks) <= FEW else tiles
+    going, near = around(best.where("fresh"))
+    while going:
         known = best.select("gx", "gy", "cost", F.lit(True).alias("old"))
         found = solve(best, near, ring=True).select("gx", "gy", "cost", F.lit(False).alias("old"))
         best = settle(known.unionByName(found))
-    return solve(best, tiles, ring=False).withColumnRenamed("cost", "value")
+        going, near = around(best.where("fresh"))
+    _, visited = around(best)
+    return solve(best, visited, ring=False).withColumnRenamed("cost", "value")
 
 
 def point_cells(points: DataFrame, meta: LayerMeta) -> DataFrame:

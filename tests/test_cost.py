@@ -59,3 +59,16 @@ def test_no_source_on_the_layer(spark, cells):
     meta = LayerMeta(LATLNG, 0.0, 0.0, 4.0, 4.0, 1.0, 1.0, 4)
     points = spark.createDataFrame([(3, 3)], "gx int, gy int")
     assert cost.cost_distance(layer, points, meta, 9.0).count() == 0
+
+
+def test_wide_wave_reads_all_blocks(spark, cells, as_dict, monkeypatch):
+    """With more blocks than may be named, or a block per tile, the costs are the same."""
+    pace = {(x, y): 1.0 + (x + y) % 3 for x in range(16) for y in range(16)}
+    meta = LayerMeta(LATLNG, 0.0, 0.0, 16.0, 16.0, 1.0, 1.0, 4)
+    points = spark.createDataFrame([(1, 1), (14, 14)], "gx int, gy int")
+    want = dijkstra(pace, [(1, 1), (14, 14)], 1.0, 1.0, 1e9)
+    for blocks, few in ((4096, 1), (4, 1000)):
+        monkeypatch.setattr(cost, "BLOCKS", blocks)
+        monkeypatch.setattr(cost, "FEW", few)
+        got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9))
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
