@@ -21,36 +21,42 @@ BLOCKS = 4096
 FEW = 1000
 
 
-def _spread_in_tile(pace, at, start, side: int, cell_w: float, cell_h: float, max_cost: float):
-    """Least costs inside one tile and its ring.
-
-    ``pace`` is a flat (side x side) array, NaN where nothing can pass; ``at`` and ``start`` give
-    the cells with a known cost. Improved cells pass their cost on, the cheapest first: those up
-    to two mean steps above the least wait no longer. That order only saves work; the end, when no cell
-    improves, is the same.
-    """
-    wide = side + 2
-    f = np.full((wide, wide), np.nan)
-    f[1:-1, 1:-1] = pace.reshape(side, side)
-    f = f.ravel()
-    cost = np.full(wide * wide, np.inf)
-    moves = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dx or dy]
-    jump = np.array([dy * wide + dx for dx, dy in moves])
-    length = np.array([math.hypot(dx * cell_w, dy * cell_h) for dx, dy in moves])
-    wave = (at // side + 1) * wide + at % side + 1
-    start, wave = start[~np.isnan(f[wave])], wave[~np.isnan(f[wave])]
-    np.minimum.at(cost, wave, start)
-    reach = 2 * np.nanmean(f) * min(cell_w, cell_h) if wave.size else 0.0
-    while wave.size:
-        due = cost[wave] <= cost[wave].min() + reach
-        later, wave = wave[~due], wave[due]
-        to = wave[:, None] + jump
-        new = cost[wave][:, None] + (f[wave][:, None] + f[to]) / 2 * length
-        better = (new <= max_cost) & (new < cost[to])  # NaN compares false
-        to = to[better]
-        np.minimum.at(cost, to, new[better])
-        wave = np.unique(np.concatenate([later, to]))
-    return cost.reshape(wide, wide)[1:-1, 1:-1]
+def _spreader():
+    """The helper that solves one tile. A closure travels to the workers as a whole, which then need
+    no installed package."""
+
+    def spread(pace, at, start, side: int, cell_w: float, cell_h: float, max_cost: float):
+        """Least costs inside one tile and its ring.
+
+        ``pace`` is a flat (side x side) array, NaN where nothing can pass; ``at`` and ``start`` give
+        the cells with a known cost. Improved cells pass their cost on, the cheapest first: those up
+        to two mean steps above the least wait no longer. That order only saves work; the end, when no cell
+        improves, is the same.
+        """
+        wide = side + 2
+        f = np.full((wide, wide), np.nan)
+        f[1:-1, 1:-1] = pace.reshape(side, side)
+        f = f.ravel()
+        cost = np.full(wide * wide, np.inf)
+        moves = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dx or dy]
+        jump = np.array([dy * wide + dx for dx, dy in moves])
+        length = np.array([math.hypot(dx * cell_w, dy * cell_h) for dx, dy in moves])
+        wave = (at // side + 1) * wide + at % side + 1
+        start, wave = start[~np.isnan(f[wave])], wave[~np.isnan(f[wave])]
+        np.minimum.at(cost, wave, start)
+        reach = 2 * np.nanmean(f) * min(cell_w, cell_h) if wave.size else 0.0
+        while wave.size:
+            due = cost[wave] <= cost[wave].min() + reach
+            later, wave = wave[~due], wave[due]
+            to = wave[:, None] + jump
+            new = cost[wave][:, None] + (f[wave][:, None] + f[to]) / 2 * length
+            better = (new <= max_cost) & (new < cost[to])  # NaN compares false
+            to = to[better]
+            np.minimum.at(cost, to, new[better])
+            wave = np.unique(np.concatenate([later, to]))
+        return cost.reshape(wide, wide)[1:-1, 1:-1]
+
+    return spread
 
 
 def _solver(meta: LayerMeta, max_cost: float, ring: bool):
@@ -61,13 +67,14 @@ def _solver(meta: LayerMeta, max_cost: float, ring: bool):
     """
     t = meta.tile_size
     side, cell_w, cell_h = t + 2, meta.cell_w, meta.cell_h
+    spread = _spreader()
 
     def solve(batches):
         own = np.zeros((side, side), dtype=bool)
         own[1:-1, 1:-1] = True
         for batch in batches:
             for tile in batch.itertuples(index=False):
-                cost = _spread_in_tile(
+                cost = spread(
                     np.frombuffer(tile.pace), np.asarray(tile.seed_at, dtype=np.int64), np.asarray(tile.seed_cost, dtype=float),
                     side, cell_w, cell_h, max_cost,
                 )

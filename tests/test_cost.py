@@ -1,8 +1,11 @@
 import heapq
 import math
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from paceway.meta import LATLNG, LayerMeta
 from paceway.operators import cost
@@ -72,3 +75,11 @@ def test_wide_wave_reads_all_blocks(spark, cells, as_dict, monkeypatch):
         monkeypatch.setattr(cost, "FEW", few)
         got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9))
         assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_helpers_reach_workers_without_the_package(tmp_path):
+    meta = LayerMeta(LATLNG, 0.0, 0.0, 4.0, 4.0, 1.0, 1.0, 4)
+    for helper in (cost._solver(meta, 9.0, True), cost._dense(6)):
+        (tmp_path / "f").write_bytes(cloudpickle.dumps(helper))
+        load = "import sys, pickle; pickle.load(open('f', 'rb')); assert 'paceway' not in sys.modules"
+        subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True, env={"PATH": ""})
