@@ -1,24 +1,16 @@
-"""Where intermediate results may be kept."""
+"""Where intermediate results are kept: always in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
+    """The folder named in ``spark.checkpoint.dir``; where that is unset, one inside the session's warehouse, which is shared too."""
     known = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if known:
-        return known
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="paceway-")
+    return known or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -26,6 +18,20 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`fresh_dir` named, through the file system that holds it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute once into a fresh shared folder and read back: a cut of lineage whose files outlive executors."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint, which outlives executors."""
     context = df.sparkSession.sparkContext
