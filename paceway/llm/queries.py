@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import exact
+from paceway.llm import decontaminate, exact, packing
 
 QUERIES = {}
 SQL = {}
@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -33,3 +45,31 @@ with d as (
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = max(doc_id) over g as kept, text_sha256
 from d window g as (partition by text_sha256)
 """
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("sign").withColumnRenamed("id", "doc_id")
+
+
+SQL["op4_decontaminate"] = r"""
+with dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+bw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+win as (
+  select distinct item_id, len, array_to_string(w[s + 1:s + len], ' ') as win
+  from (select item_id, w, least(len(w), 13) as len, unnest(range(0, greatest(len(w) - 12, 1))) as s from bw where len(w) > 0)),
+lens as (select distinct len from win),
+cand as (
+  select doc_id, len, s, array_to_string(w[s + 1:s + len], ' ') as win
+  from (select doc_id, w, len, unnest(range(0, len(w) - len + 1)) as s from dw, lens where len(w) >= len)),
+hit as (select doc_id, s, len, item_id from cand join win using (len, win)),
+pos as (select doc_id, count(*) as n from (select distinct doc_id, unnest(range(s, s + len)) as p from hit) group by doc_id),
+its as (select doc_id, count(*) as n, string_agg(i, ',' order by i) as items from (select distinct doc_id, item_id::varchar as i from hit) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(pos.n, 0) as n_hit, coalesce(its.n, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(pos.n, 0) > 0 and 20 * coalesce(pos.n, 0) >= len(w) as contaminated
+from dw left join pos using (doc_id) left join its using (doc_id)
+"""
