@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, packing
+from paceway.llm import decontaminate, exact, near, packing
 
 QUERIES = {}
 SQL = {}
@@ -73,3 +73,8 @@ select doc_id, len(w) as n_words, coalesce(pos.n, 0) as n_hit, coalesce(its.n, 0
   coalesce(pos.n, 0) > 0 and 20 * coalesce(pos.n, 0) >= len(w) as contaminated
 from dw left join pos using (doc_id) left join its using (doc_id)
 """
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.find(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "group_size", "kept")
