@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, near, packing
+from paceway.llm import decontaminate, exact, langid, near, packing
 
 QUERIES = {}
 SQL = {}
@@ -78,3 +78,12 @@ from dw left join pos using (doc_id) left join its using (doc_id)
 @query
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.find(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "group_size", "kept")
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    model = langid.train(table(spark, sf_dir, "documents"))
+    html = F.col("html")
+    found = langid.identify(pages, model, "page_id", langid.page_text(html), langid.page_language(html), langid.url_host(F.col("url")))
+    return found.drop("sign").withColumnRenamed("id", "page_id")
