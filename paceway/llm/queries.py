@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, langid, near, packing
+from paceway.llm import decontaminate, exact, langid, near, packing, secrets
 
 QUERIES = {}
 SQL = {}
@@ -87,3 +87,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
     found = langid.identify(pages, model, "page_id", langid.page_text(html), langid.page_language(html), langid.url_host(F.col("url")))
     return found.drop("sign").withColumnRenamed("id", "page_id")
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+    return found.withColumnRenamed("id", "doc_id")

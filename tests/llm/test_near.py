@@ -3,24 +3,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from plain import words_of
 
 from paceway.llm import near
 from paceway.llm.graph import components
 
 
-def words_of(text):
-    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-    out, now = [], ""
-    for c in low + "\n":
-        if c.isascii() and not ("0" <= c <= "9" or "a" <= c <= "z"):
-            if now:
-                out.append(now)
-            now = ""
-        else:
-            now += c
-    return out
-
-
 def bag_of(text):
     w = words_of(text)
     return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
