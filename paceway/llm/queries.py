@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, langid, near, packing, secrets
+from paceway.llm import decontaminate, exact, langid, near, packing, secrets, tokens
 
 QUERIES = {}
 SQL = {}
@@ -94,3 +94,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.scan(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
