@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, langid, near, packing, secrets, tokens
+from paceway.llm import decontaminate, exact, langid, near, packing, secrets, tokens, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -99,3 +99,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("_id").cast("string").cast("binary")) % 4
+    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels"), part != 2))
+    held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.to_json("sentences").alias("offending"),
+    )
