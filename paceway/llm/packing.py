@@ -111,51 +111,84 @@ def pack(
     place = _placer()
 
     def run(batches):
+        import json
         import os
-        import struct
         import zlib
+        from itertools import chain
 
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encode = Tokenizer.from_file(tokenizer)
-        end = struct.pack("<I", end_id)
+        coder = Tokenizer.from_file(tokenizer)
+        end = np.array([end_id], "<u4").tobytes()
+        model = coder.model
+        suffix = json.loads(coder.to_str())["model"]["end_of_word_suffix"] or ""
+        is_end = np.zeros(coder.get_vocab_size(), bool)
+        is_end[[i for t, i in coder.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         known, number = {}, TaskContext.get().partitionId() << 32
 
+        def encode(words):
+            """Ids of words; what is all letters is one word to the tokenizer too, so such words share a call, or go to the merges as they are."""
+            shared, rest = [], []
+            for w in words:
+                if not w.isalpha():
+                    rest.append(w)
+                elif w.isascii() and w.islower():
+                    known[w] = [t.id for t in model.tokenize(w)]
+                else:
+                    shared.append(w)
+            for i in range(0, len(shared), 1024):
+                part = shared[i : i + 1024]
+                ids = coder.encode(" ".join(part), add_special_tokens=False).ids
+                ends = (np.flatnonzero(is_end[ids]) + 1).tolist()
+                if len(ends) == len(part):
+                    known.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends, strict=True))
+                else:
+                    rest += part
+            for i in range(0, len(rest), 4096):
+                part = rest[i : i + 4096]
+                known.update((w, e.ids) for w, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True))
+
         def ids_of(texts):
-            cut = [t.replace("\n", " ").split(" ") for t in texts]
-            need = list(set().union(*cut).difference(known))
+            """Ids of each text: different words are encoded once and spread to where they stand."""
+            # A word ends where a sign follows a letter. Signs of contractions and special strings are left alone.
+            spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), r"(\pL)([!-&(-/:;=?@\[-`{}~])", r"\1 \2")
+            split = pc.split_pattern(spaced, " ")
+            coded = split.flatten().dictionary_encode()
+            words = [w.lower() if w.isascii() and "|" not in w else w for w in coded.dictionary.to_pylist()]
+            need = set(words).difference(known)
             if len(known) + len(need) > cached:
                 known.clear()
-                need = list(set().union(*cut))
-            for i in range(0, len(need), 4096):
-                part = need[i : i + 4096]
-                for word, e in zip(part, encode.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-            out = [b"".join(map(known.__getitem__, words)) + end for words in cut]
+                need = set(words)
+            encode(need)
+            parts = list(map(known.__getitem__, words))
             for word in need:
                 if len(word) > 64:
                     del known[word]
-            return out
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+            flat, begin = np.fromiter(chain.from_iterable(parts), "<u4", int(lengths.sum())), np.cumsum(lengths) - lengths
+            places = coded.indices.to_numpy()
+            n = lengths[places]
+            total = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.repeat(begin[places] - total[:-1], n) + np.arange(total[-1])].tobytes()
+            at = (4 * total[split.offsets.to_numpy() - split.offsets[0].as_py()]).tolist()
+            return [ids[x:y] + end for x, y in zip(at[:-1], at[1:], strict=True)]
 
         def grouped():
-            """Texts in groups of about a million characters."""
-            ids, texts, n = [], [], 0
-            nonlocal id_type
+            """Texts in groups of some million bytes."""
             for batch in batches:
-                id_type = batch.schema.types[0]
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids.append(i)
-                    texts.append(t)
-                    n += len(t)
-                    if n >= 1_000_000:
-                        yield ids, texts
-                        ids, texts, n = [], [], 0
-            if ids:
-                yield ids, texts
+                sizes = pc.binary_length(batch.column(1)).to_numpy()
+                at, n = 0, 0
+                for i, size in enumerate(sizes.tolist()):
+                    n += size
+                    if n >= 16_000_000 or i + 1 == len(sizes):
+                        yield batch.column(0).slice(at, i + 1 - at), batch.column(1).slice(at, i + 1 - at)
+                        at, n = i + 1, 0
 
         def packed(names, data):
             nonlocal number
@@ -168,7 +201,8 @@ def pack(
 
         id_type, names, data, tokens = None, [], [], 0
         for ids, texts in grouped():
-            for i, b in zip(ids, ids_of(texts), strict=True):
+            id_type = ids.type
+            for i, b in zip(ids.to_pylist(), ids_of(texts), strict=True):
                 names.append(i)
                 data.append(b)
                 tokens += len(b) // 4
