@@ -1,13 +1,14 @@
 """Toxicity by multiple-instance learning: a document is toxic if one of its sentences is.
 
-A sentence gets a logistic score from its words; a document's score combines them by noisy-or, ``1 - prod(1 - p)``. Both are trained together from document labels: the gradient of the document's loss reaches
+A sentence gets a logistic score from its words; a document's score combines them by noisy-or, ``1 - (1 - leak) * prod(1 - p)``. Sentences without any known feature are no evidence, so a
+long text is not suspect for its length; what no sentence explains is left to the leak, one for each document. Both are trained together from document labels: the gradient of the document's loss reaches
 a sentence in proportion to its own score, so the words of the offending sentences take the weight. The same scores locate those sentences.
 
 Words count with their first letters (prefixes of four and five), so that an unseen form of a known stem is recognised. The vocabulary is what the labelled rows show to go with the label: grouped counts of documents by feature, kept if a
 feature lifts the rate of the label beyond chance, ``features`` at most. The model is fitted on a bounded sample of labelled rows, ``sample`` in the mean, chosen by a hash of the id; the sample of labels is small
 enough to be broadcast. Every text is scored whole, in one pass without a shuffle.
 
-Edge cases: null, empty and wordless texts have one empty sentence and get the score of that; missing labels are left out, of conflicting ones toxic wins; repeated rows are scored
+Edge cases: null, empty and wordless texts get the leak as score; missing labels are left out, of conflicting ones toxic wins; repeated rows are scored
 one by one; without labels of both kinds every score is ``prior``; an empty table gives no rows; other columns are not read.
 """
 
@@ -58,8 +59,8 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, id_col="doc_id"
     return texts.join(known, "_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: int = 400, rate: float = 0.1, ridge: float = 1e-4, prior: float = 0.001) -> tuple[float, dict[str, float]]:
-    """``(bias, weights by feature)`` from ``text, toxic``."""
+def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: int = 400, rate: float = 0.1, ridge: float = 1e-4, prior: float = 0.001) -> tuple[float, float, dict[str, float]]:
+    """``(leak, bias, weights by feature)``, the first two as logits, from ``text, toxic``."""
     import numpy as np
 
     tools = _reader()
@@ -90,7 +91,7 @@ def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: i
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     bias = math.log(prior / (1 - prior))
     if not 0 < n_toxic < n:
-        return bias, {}
+        return bias, bias, {}
     base = n_toxic / n
     sums = rows.mapInArrow(tally, "feature string, toxic long, n long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     strength = (F.col("toxic") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
@@ -102,45 +103,44 @@ def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: i
 
         word, seen, sentences = tools
         for batch in batches:
-            empty, found = [], []
+            found = []
             for text in batch.column(0).to_pylist():
-                spans, full = sentences(text), []
-                for a, b in spans:
+                full = []
+                for a, b in sentences(text):
                     hits = {place[f] for w in word.findall(text[a:b].lower()) for f in seen(w) if f in place}
                     if hits:
                         full.append(sorted(hits))
-                empty.append(len(spans) - len(full))
                 found.append(full)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(empty, pa.int64()), pa.array(found, pa.list_(pa.list_(pa.int32())))], names=["toxic", "empty", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.list_(pa.int32())))], names=["toxic", "found"])
 
-    toxic, empty, owner, sentence, feature = [], [], [], [], []
-    for r in rows.mapInArrow(instances, "toxic int, empty long, found array<array<int>>").toLocalIterator():  # at most the sample, features only
+    toxic, owner, sentence, feature = [], [], [], []
+    for r in rows.mapInArrow(instances, "toxic int, found array<array<int>>").toLocalIterator():  # at most the sample, features only
         for hits in r["found"]:
             sentence += [len(owner)] * len(hits)
             feature += hits
             owner.append(len(toxic))
         toxic.append(r["toxic"])
-        empty.append(r["empty"])
-    y, empty, owner, sentence, feature = np.array(toxic, float), np.array(empty, float), np.array(owner, int), np.array(sentence, int), np.array(feature, int)
+    y, owner, sentence, feature = np.array(toxic, float), np.array(owner, int), np.array(sentence, int), np.array(feature, int)
 
-    weights, first, second = np.zeros(len(place) + 1), 0.0, 0.0
-    weights[-1] = bias
+    # The weights of the features, then the bias of a sentence and the leak.
+    weights, first, second = np.zeros(len(place) + 2), 0.0, 0.0
+    weights[-2:] = bias
     for step in range(1, steps + 1):
-        z = np.bincount(sentence, weights[feature], minlength=len(owner)) + weights[-1]
-        evidence = np.bincount(owner, np.logaddexp(0, z), minlength=len(y)) + empty * np.logaddexp(0, weights[-1])  # -log of the chance of no toxic sentence
+        z = np.bincount(sentence, weights[feature], minlength=len(owner)) + weights[-2]
+        evidence = np.bincount(owner, np.logaddexp(0, z), minlength=len(y)) + np.logaddexp(0, weights[-1])  # -log of the chance of no toxic sentence
         missed = np.exp(-evidence)
         slope = (1 - y) - y * missed / np.maximum(1 - missed, 1e-12)
         each = slope[owner] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(feature, each[sentence], minlength=len(place)), each.sum() + (slope * empty).sum() / (1 + np.exp(-weights[-1]))) / len(y)
-        grad[:-1] += ridge * weights[:-1]
+        grad = np.concatenate([np.bincount(feature, each[sentence], minlength=len(place)), [each.sum(), slope.sum() / (1 + np.exp(-weights[-1]))]]) / len(y)
+        grad[:-2] += ridge * weights[:-2]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
         weights = weights - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-    return float(weights[-1]), {f: float(weights[i]) for f, i in place.items()}
+    return float(weights[-1]), float(weights[-2]), {f: float(weights[i]) for f, i in place.items()}
 
 
 def score(docs: DataFrame, model, id_col="doc_id", text_col="text", least: float = 0.3) -> DataFrame:
     """One row per input row: ``id, score, sentences``, the last an array of ``(start, end, score)`` of the sentences at ``least`` or more."""
-    bias, weights = model
+    leak, bias, weights = model
     tools = _reader()
 
     def run(batches):
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model, id_col="doc_id", text_col="text", least: float
         import pyarrow as pa
 
         word, seen, sentences = tools
-        known, idle = {}, math.log1p(math.exp(bias))
+        known = {}
 
         def weight(w):
             out = known.get(w)
@@ -162,18 +162,18 @@ def score(docs: DataFrame, model, id_col="doc_id", text_col="text", least: float
         for batch in batches:
             scores, found = [], []
             for text in batch.column(1).to_pylist():
-                spans = sentences(text)
                 low = text.lower()
-                evidence, bad = 0.0, []
+                evidence, bad = math.log1p(math.exp(leak)), []
                 if len(low) != len(text) or any(map(weight, set(word.findall(low)))):
-                    for a, b in spans:
-                        z = bias + sum(dict(x for w in word.findall(text[a:b].lower()) for x in weight(w)).values())
+                    for a, b in sentences(text):
+                        shown = dict(x for w in word.findall(text[a:b].lower()) for x in weight(w))
+                        if not shown:
+                            continue
+                        z = bias + sum(shown.values())
                         evidence += z if z > 30 else math.log1p(math.exp(z))
                         p = 1 / (1 + math.exp(-max(z, -700)))
                         if p >= least:
                             bad.append((a, b, p))
-                else:
-                    evidence = len(spans) * idle
                 scores.append(-math.expm1(-evidence))
                 found.append([{"start": a, "end": b, "score": p} for a, b, p in bad])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
