@@ -100,7 +100,7 @@ def _refs(spark, sf_dir) -> DataFrame:
 
 
 def ways(spark, sf_dir) -> DataFrame:
-    """ways(way_id, tags, refs): every order a way, the urgent and high ones closed."""
+    """ways(way_id, tags, refs): every order a way, the urgent and high ones closed; some of these by a node that does not exist."""
     step = F.floor(F.col("o_orderkey") / 10.0)
     cls = step % 21
     tags = F.create_map(
@@ -114,7 +114,9 @@ def ways(spark, sf_dir) -> DataFrame:
         F.map_filter(tags, lambda _, v: v.isNotNull()).alias("tags"),
         F.col("o_orderpriority").isin(*CLOSED).alias("closed"),
     )
-    refs = F.when(F.col("closed"), F.concat("refs", F.slice("refs", 1, 1))).otherwise(F.col("refs"))
+    unknown = F.array(-F.col("way_id"))
+    refs = F.when(F.col("closed") & (F.col("way_id") % 7 == 3), F.concat(unknown, "refs", unknown))
+    refs = refs.when(F.col("closed"), F.concat("refs", F.slice("refs", 1, 1))).otherwise(F.col("refs"))
     return orders.join(_refs(spark, sf_dir), "way_id", "left").select(
         "way_id", "tags", F.coalesce(refs, F.array().cast("array<bigint>")).alias("refs")
     )
@@ -172,7 +174,8 @@ def flowlines(spark, sf_dir) -> DataFrame:
         _pick(["336", "460", "558"], key % 3).alias("ftype"),
         order.alias("stream_order"),
     )
-    return attributes.join(_refs(spark, sf_dir), "way_id")
+    refs = F.coalesce("refs", F.array().cast("array<bigint>")).alias("refs")
+    return attributes.join(_refs(spark, sf_dir), "way_id", "left").select("way_id", "ftype", "stream_order", refs)
 
 
 def sources(spark, sf_dir) -> DataFrame:

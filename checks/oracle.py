@@ -78,25 +78,31 @@ CTE["fx_tags"] = f"""select o_orderkey as way_id,
  {case("o_orderkey % 23", ((i, text(m)) for i, m in enumerate(fx.MAXSPEED)))} as maxspeed,
  case when o_orderpriority = '1-URGENT' then 'yes' end as area,
  o_orderpriority in ('1-URGENT', '2-HIGH') as closed from orders"""
-CTE["fx_way_nodes"] = """select way_id, seq, node_id from fx_refs union all
+CTE["fx_way_nodes"] = """select r.way_id, cast(r.seq + case when t.closed and r.way_id % 7 = 3 then 1 else 0 end as int) as seq, r.node_id
+ from fx_refs r join fx_tags t on r.way_id = t.way_id union all
  select r.way_id, cast(max(r.seq) + 1 as int), max(case when r.seq = 1 then r.node_id end)
- from fx_refs r join fx_tags t on r.way_id = t.way_id where t.closed group by r.way_id"""
+ from fx_refs r join fx_tags t on r.way_id = t.way_id where t.closed and r.way_id % 7 <> 3 group by r.way_id union all
+ select r.way_id, cast(unnest([1, max(r.seq) + 2]) as int), -r.way_id
+ from fx_refs r join fx_tags t on r.way_id = t.way_id where t.closed and r.way_id % 7 = 3 group by r.way_id"""
 CTE["fx_kinds"] = """select t.way_id, case when n >= 4 and first_ref = last_ref and
  (coalesce(area, '') = 'yes' or highway is null) then 'polygon' else 'line' end as kind
  from fx_tags t left join (select way_id, count(*) as n, arg_min(node_id, seq) as first_ref,
  arg_max(node_id, seq) as last_ref from fx_way_nodes group by way_id) s on t.way_id = s.way_id"""
+CTE["fx_placed"] = """select w.way_id as feature_id, k.kind, w.seq, n.lon, n.lat
+ from fx_way_nodes w join fx_nodes n on w.node_id = n.node_id join fx_kinds k on w.way_id = k.way_id"""
 CTE["fx_edges"] = """select feature_id, kind, seq, x0, y0, x1, y1 from (
- select w.way_id as feature_id, k.kind, w.seq, n.lon as x0, n.lat as y0,
- lead(n.lon) over (partition by w.way_id order by w.seq) as x1,
- lead(n.lat) over (partition by w.way_id order by w.seq) as y1
- from fx_way_nodes w join fx_nodes n on w.node_id = n.node_id join fx_kinds k on w.way_id = k.way_id) e
- where x1 is not null"""
+ select feature_id, kind, seq, lon as x0, lat as y0,
+ lead(lon) over (partition by feature_id order by seq) as x1,
+ lead(lat) over (partition by feature_id order by seq) as y1 from fx_placed) e
+ where x1 is not null union all
+ select feature_id, kind, max(seq), arg_max(lon, seq), arg_max(lat, seq), arg_min(lon, seq), arg_min(lat, seq)
+ from fx_placed where kind = 'polygon' group by feature_id, kind having min(seq) > 1 and count(*) > 1"""
 CTE["fx_wanted"] = """select e.*, t.highway, t.maxspeed from fx_edges e join fx_tags t on e.feature_id = t.way_id
  where t.highway is not null or t.waterway is not null"""
 CTE["fx_cover"] = f"""select {_GX}, {_GY}, {case("p_partkey % 18", enumerate(fx.COVER))} as value from part"""
 CTE["fx_flow"] = f"""select o_orderkey as way_id, {case("o_orderkey % 3", ((0, "'336'"), (1, "'460'"), (2, "'558'")))} as ftype,
  {case(f"{_STEP} % 10", [(i, text(i)) for i in range(8)] + [(8, "''"), (9, "'-9'")])} as stream_order
- from orders where o_orderkey in (select l_orderkey from lineitem)"""
+ from orders"""
 CTE["fx_flow_ok"] = """select * from fx_flow where ftype in ('336', '460')
  and try_cast(nullif(stream_order, '') as int) >= 0"""
 _WEIGHT = case("stream_order", ((text(k), num(v)) for k, v in ORDER_WEIGHT.items()))
@@ -170,7 +176,7 @@ def notebook(unit: str, split: bool = True) -> str:
     return f"(case when {raw} <= 0 then base else {raw} end)"
 
 
-_LOWER = f"lower({strip(chr(99) + 'oalesce(maxspeed, ' + chr(39) * 2 + ')')})"
+_LOWER = "lower(" + strip("coalesce(maxspeed, '')") + ")"
 CTE["sp_kmh"] = f"select way_id, highway, maxspeed, {_LOWER} as s, {class_of('highway', 'kmh')} as base from fx_tags"
 CTE["sp_mph"] = f"select way_id, highway, maxspeed, {_LOWER} as s, {class_of('highway', 'mph')} as base from fx_tags"
 CTE["sp_chain"] = f"select way_id, highway, {chain('highway', 'maxspeed')} as value from fx_tags where highway is not null"

@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from paceway.functions import speed
 from paceway.sources.osm import has_tag, tag
 
-# Longest stretch of one way handled by one window group. Map data has at most 2,000 references
-# per way; this keeps groups bounded for any input.
-STRETCH = 16384
-
 
 # ---- values from tags ------------------------------------------------------------------------
 def split_roads_paths(highways: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,31 +121,27 @@ def link_references(refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] =
 
     ``refs(way_id, seq, node_id, <carry>)`` meets ``nodes`` in an equi-join, the second shuffle
     brings each way together. A node that very many ways share sits in one join partition, which
-    adaptive execution splits since a shuffle follows. A very long way is cut in stretches: every
-    reference of a later stretch is also seen by the stretch before it, so the last
-    reference of a stretch finds its successor. References without a node are skipped; a run of
-    more than ``STRETCH`` of them ends the line.
+    adaptive execution splits since a shuffle follows. A way's references come from the array of one row,
+    which bounds the group. References without a node are skipped, however many in a row. A ring
+    (``kind`` ``polygon`` among ``carry``) whose first reference has no node is closed from its last known node to its first.
     """
     placed = refs.join(nodes.select("node_id", "lon", "lat"), "node_id").select(
         "way_id", "seq", "lon", "lat", *carry
     )
-    own = F.floor(F.col("seq") / F.lit(float(STRETCH))).cast("int")
-    seen = F.when(own == 0, F.array(F.lit(0))).otherwise(F.array(own - 1, own))
-    group = Window.partitionBy("way_id", "stretch").orderBy("seq")
-    step = F.lead(F.struct("lon", "lat", "seq")).over(group)
+    group = Window.partitionBy("way_id").orderBy("seq")
+    point = F.struct("lon", "lat", "seq")
+    step = F.lead(point).over(group)
+    if "kind" in carry:
+        first = F.first(point).over(group)
+        open_ring = (F.col("kind") == "polygon") & (first["seq"] > 1) & (first["seq"] < F.col("seq"))
+        step = F.coalesce(step, F.when(open_ring, first))
     # a stated number of partitions is kept as it is: an edge of few bytes may become many cells,
     # so merging partitions by the size of their edges would starve the burning that follows
     parts = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        placed.withColumn("own", own)
-        .withColumn("stretch", F.explode(seen))
-        .repartition(parts, "way_id", "stretch")
+        placed.repartition(parts, "way_id")
         .withColumn("step", step)
-        .where(
-            (F.col("stretch") == F.col("own"))
-            & F.col("step").isNotNull()
-            & (F.col("step.seq") - F.col("seq") <= STRETCH)
-        )
+        .where(F.col("step").isNotNull())
         .select(
             F.col("way_id").alias("feature_id"),
             "seq",

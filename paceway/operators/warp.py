@@ -29,14 +29,17 @@ def _between(src: LayerMeta, dst: LayerMeta):
 class _Axis:
     """One axis of the mapping between two grids, as expressions of whole cell indices."""
 
-    def __init__(self, src_origin, src_step, n_src, dst_origin, dst_step, n_dst, forward, back):
+    def __init__(self, src_origin, src_step, n_src, dst_origin, dst_step, n_dst, forward, back, limit=None):
         self.src_origin, self.src_step, self.n_src = src_origin, src_step, n_src
+        self.limit = limit  # source positions beyond it have no place on the target
         self.dst_origin, self.dst_step, self.n_dst = dst_origin, dst_step, n_dst
         self.forward, self.back = forward, back
 
     def target(self, source: Column) -> Column:
         """Target position of a source position, both in cells from the origin."""
         place = F.lit(self.src_origin) + source * F.lit(self.src_step)
+        if self.limit is not None:
+            place = F.least(F.greatest(place, F.lit(-self.limit)), F.lit(self.limit))
         return (self.forward(place) - F.lit(self.dst_origin)) / F.lit(self.dst_step)
 
     def source(self, cell: Column) -> Column:
@@ -56,7 +59,8 @@ class _Axis:
 def _axes(src: LayerMeta, dst: LayerMeta) -> tuple[_Axis, _Axis]:
     fx, fy, bx, by = _between(src, dst)
     x = _Axis(src.xmin, src.cell_w, src.cols, dst.xmin, dst.cell_w, dst.cols, fx, bx)
-    y = _Axis(src.ymax, -src.cell_h, src.rows, dst.ymax, -dst.cell_h, dst.rows, fy, by)
+    limit = MERCATOR_LAT if (src.crs, dst.crs) == (LATLNG, MERCATOR) else None
+    y = _Axis(src.ymax, -src.cell_h, src.rows, dst.ymax, -dst.cell_h, dst.rows, fy, by, limit)
     return x, y
 
 

@@ -18,9 +18,27 @@ def test_missing_nodes_are_skipped(spark):
     assert got == [(1, 1, 0.0, 1.0), (1, 3, 1.0, 2.0)]
 
 
-def test_long_way_equals_one_window(spark, monkeypatch):
-    """A way far longer than a stretch, half of its nodes unknown, links as if in one piece."""
-    monkeypatch.setattr(features, "STRETCH", 16)
+def test_long_gap_is_bridged(spark):
+    """Tens of thousands of unknown references in a row do not break a line."""
+    ways = spark.createDataFrame([(1, {"highway": "road"}, [1, *range(100, 40_000), 2])], WAYS)
+    edges = features.assemble_features(ways, nodes(spark, {1: (0, 0), 2: (1, 1)})).collect()
+    assert [(r["x0"], r["x1"]) for r in edges] == [(0.0, 1.0)]
+
+
+def test_ring_without_its_closing_node_is_closed(spark, cells):
+    ring = {1: (2, 2), 2: (9, 2), 3: (9, 9), 4: (2, 9)}
+    ways = spark.createDataFrame([(1, {"waterway": "river"}, [99, 1, 2, 3, 4, 99]), (2, {"waterway": "river"}, [98, 1, 98, 98])], WAYS)
+    edges = features.assemble_features(ways, nodes(spark, ring))
+    got = sorted((r["seq"], r["x0"], r["y0"], r["x1"], r["y1"]) for r in edges.collect())
+    assert got == [(2, 2, 2, 9, 2), (3, 9, 2, 9, 9), (4, 9, 9, 2, 9), (5, 2, 9, 2, 2)]
+    filled = raster.rasterize_polygons(edges.withColumn("value", F.lit(1.0)), GRID, ("value",)).count()
+    whole = spark.createDataFrame([(1, {"waterway": "river"}, [1, 2, 3, 4, 1])], WAYS)
+    edges = features.assemble_features(whole, nodes(spark, ring))
+    assert filled == raster.rasterize_polygons(edges.withColumn("value", F.lit(1.0)), GRID, ("value",)).count() == 49
+
+
+def test_long_way_equals_one_window(spark):
+    """A way half of whose nodes are unknown links its known ones."""
     points = {i: (i % 20, (i * 7) % 20) for i in range(0, 1000, 2)}
     ways = spark.createDataFrame([(1, {"highway": "road"}, list(range(1000))), (2, {"highway": "road"}, [4, 2])], WAYS)
     edges = features.assemble_features(ways, nodes(spark, points)).where("feature_id = 1")
