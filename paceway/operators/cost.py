@@ -13,12 +13,12 @@ from paceway.functions.grid import col_of, inside, row_of, z2
 from paceway.meta import LayerMeta
 from paceway.operators.focal import buffer_tiles
 from paceway.operators.raster import tile_keys
-from paceway.runtime import cut, fresh_dir
+from paceway.runtime import fresh_dir, remove_dir, written
 
 _TILE = ["tile_col", "tile_row"]
-# about how many blocks of tiles a layer is cut in, and how many may be named to a reader
-BLOCKS = 4096
-FEW = 1000
+# tiles of a block along the z-curve, as a power of two: 256 tiles of 256 x 256 cells take 136 MB
+BLOCK_BITS = 8
+COSTS = "tile_col int, tile_row int, gx int, gy int, cost double, round int, block long"
 
 
 def _spreader():
@@ -102,30 +102,28 @@ def _dense(side: int):
     return pack
 
 
-def _block(meta: LayerMeta, z="z2"):
-    """Number of a square block of tiles, at most about ``BLOCKS`` of them on the whole layer."""
-    tiles = max(meta.tile_cols, meta.tile_rows)
-    bits = max(0, 2 * math.ceil(math.log2(tiles)) - int(math.log2(BLOCKS)))
-    return F.shiftright(z, bits).cast("int")
+def _block(z="z2"):
+    """Number of a square block of tiles; its size does not depend on the layer's."""
+    return F.shiftright(z, BLOCK_BITS).cast("long")
 
 
 def friction_tiles(friction: DataFrame, meta: LayerMeta) -> DataFrame:
     """Friction by tile, each tile with a ring of one cell: (block, tile_col, tile_row, pace).
 
     ``pace`` holds (tile_size + 2)^2 doubles, NaN where nothing can pass; that bounds what a tile
-    gathers. Tiles lie along the z-curve, which keeps the tiles of a block together; that ordering
+    gathers. Friction below 0 counts as NODATA: with it a round trip would pay and no cost be least. Tiles lie along the z-curve, which keeps the tiles of a block together; that ordering
     and the gathering share one shuffle.
     """
     t, side = meta.tile_size, meta.tile_size + 2
     place = (F.col("gy") - F.col("tile_row") * t + 1) * side + (F.col("gx") - F.col("tile_col") * t + 1)
-    known = friction.where("value is not null").select("gx", "gy", F.col("value").cast("double"))
+    known = friction.where("value >= 0").select("gx", "gy", F.col("value").cast("double"))
     return (
         buffer_tiles(known, meta, 1)
         .select(*_TILE, z2().alias("z2"), place.cast("int").alias("at"), "value")
         .repartitionByRange("z2")
-        .withColumn("block", _block(meta))
+        .withColumn("block", _block())
         .groupBy("z2", "block", *_TILE)
-        .applyInPandas(_dense(side), "block int, tile_col int, tile_row int, pace binary")
+        .applyInPandas(_dense(side), "block long, tile_col int, tile_row int, pace binary")
     )
 
 
@@ -139,58 +137,61 @@ def cost_distance(
 
     The grid is cut in tiles. A round solves, for every tile that got a better cost at
     its border, the whole tile at once and passes costs on to the cells around it, so the number of
-    rounds follows the tiles on a path, not its cells. What is kept between rounds is only the best
-    cost of border cells, checkpointed each round. Tiles are written once to the shared folder by
-    block, and a round reads the blocks the wave is in. The loop on the driver sees their
-    numbers, up to ``FEW``; a wider wave reads all blocks.
+    rounds follows the tiles on a path, not its cells. Tiles lie in the shared folder by blocks of a fixed number of
+    tiles; so do the costs of border cells, of which a round adds only those that are better than before. A round joins with the
+    small table of blocks the wave is in or next to, so that only these folders are read and only costs of the touched tiles are
+    shuffled. The driver only asks whether a round added anything. The folders are removed in the end.
     """
     spark, t, side = friction.sparkSession, meta.tile_size, meta.tile_size + 2
-    path = fresh_dir(spark, "friction")
+    tiles_at, costs_at = fresh_dir(spark, "friction"), fresh_dir(spark, "costs")
     made = friction_tiles(friction, meta)
-    made.write.partitionBy("block").parquet(path)
-    tiles = spark.read.schema(made.schema).parquet(path)
+    made.write.partitionBy("block").parquet(tiles_at)
+    tiles = spark.read.schema(made.schema).parquet(tiles_at)
     place = (F.col("gy") - F.col("tile_row") * t + 1) * side + (F.col("gx") - F.col("tile_col") * t + 1)
-
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def solve(known: DataFrame, tiles: DataFrame, ring: bool) -> DataFrame:
+    def add(costs: DataFrame, turn: int) -> None:
+        rows = costs.select(*_TILE, "gx", "gy", "cost", F.lit(turn).alias("round"), _block(z2()).alias("block"))
+        rows.write.mode("append").partitionBy("round", "block").parquet(costs_at)
+
+    def stored() -> DataFrame:
+        return spark.read.schema(COSTS).parquet(costs_at)
+
+    def at(table: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Rows of the wanted tiles; the blocks, one number for 2^BLOCK_BITS tiles of the layer, prune the folders that are read."""
+        blocks = wanted.select(_block(z2()).alias("block")).where("block >= 0").distinct()
+        return table.join(F.broadcast(blocks), "block", "left_semi").join(wanted, _TILE, "left_semi")
+
+    def best(costs: DataFrame) -> DataFrame:
+        return costs.repartition(parts, *_TILE).groupBy(*_TILE, "gx", "gy").agg(F.min("cost").alias("cost"))
+
+    def solve(known: DataFrame, wanted: DataFrame, ring: bool) -> DataFrame:
         seed = F.struct(place.cast("int").alias("at"), F.col("cost"))
-        seeds = known.groupBy(*_TILE).agg(
-            F.collect_list(seed).alias("s"), F.max("fresh").alias("fresh")
-        )
-        if ring:
-            seeds = seeds.where("fresh")
+        seeds = known.join(wanted, _TILE, "left_semi").groupBy(*_TILE).agg(F.collect_list(seed).alias("s"))
         seeds = seeds.select(*_TILE, F.col("s.at").alias("seed_at"), F.col("s.cost").alias("seed_cost"))
         # solving a tile costs far more than moving its bytes: spread the tiles evenly first
-        return tiles.join(seeds, _TILE).repartition(parts, *_TILE).mapInPandas(
-            _solver(meta, float(max_cost), ring), "gx int, gy int, cost double"
-        )
-
-    def settle(costs: DataFrame) -> DataFrame:
-        """Best cost per cell and whether it is new, kept by tile so that solving needs no shuffle."""
-        by_cell = tile_keys(costs, meta).repartition(parts, *_TILE).groupBy(*_TILE, "gx", "gy")
-        best = by_cell.agg(
-            F.min("cost").alias("cost"), F.min(F.when(F.col("old"), F.col("cost"))).alias("before")
-        )
-        fresh = F.col("before").isNull() | (F.col("cost") < F.col("before"))
-        return cut(best.select(*_TILE, "gx", "gy", "cost", fresh.alias("fresh")))
-
-    def around(costs: DataFrame) -> tuple[bool, DataFrame]:
-        """Whether there are any costs, and the tiles of the blocks they lie in."""
-        rows = costs.select(_block(meta, z2()).alias("block")).distinct().limit(FEW + 1).collect()
-        few = tiles.where(F.col("block").isin([r["block"] for r in rows]))
-        return bool(rows), few if len(rows) <= FEW else tiles
-
-    start = sources.where(inside(meta)).select("gx", "gy").distinct()
-    best = settle(start.select("gx", "gy", F.lit(0.0).alias("cost"), F.lit(False).alias("old")))
-    going, near = around(best.where("fresh"))
-    while going:
-        known = best.select("gx", "gy", "cost", F.lit(True).alias("old"))
-        found = solve(best, near, ring=True).select("gx", "gy", "cost", F.lit(False).alias("old"))
-        best = settle(known.unionByName(found))
-        going, near = around(best.where("fresh"))
-    _, visited = around(best)
-    return solve(best, visited, ring=False).withColumnRenamed("cost", "value")
+        solved = at(tiles, wanted).join(seeds, _TILE).repartition(parts, *_TILE)
+        return solved.mapInPandas(_solver(meta, float(max_cost), ring), "gx int, gy int, cost double")
+
+    start = sources.where(inside(meta)).select("gx", "gy", F.lit(0.0).alias("cost")).distinct()
+    add(tile_keys(start, meta), 0)
+    turn = 0
+    shift = F.explode(F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1))))
+    while not (wave := stored().where(f"round = {turn}").select(*_TILE)).isEmpty():
+        wave = wave.distinct()
+        near = wave.select(*_TILE, shift.alias("d")).select((F.col("tile_col") + F.col("d.x")).alias("tile_col"), (F.col("tile_row") + F.col("d.y")).alias("tile_row"))
+        near = near.where("tile_col >= 0 and tile_row >= 0").distinct()
+        known = best(at(stored(), near))
+        found = best(tile_keys(solve(known, wave, ring=True), meta))
+        before = known.withColumnRenamed("cost", "before")
+        better = found.join(before, [*_TILE, "gx", "gy"], "left").where("before is null or cost < before")
+        turn += 1
+        add(better, turn)
+    visited = stored().select(*_TILE).distinct()
+    reached = written(solve(best(stored()), visited, ring=False).withColumnRenamed("cost", "value"), "reached")
+    for path in (tiles_at, costs_at):
+        remove_dir(spark, path)
+    return reached
 
 
 def point_cells(points: DataFrame, meta: LayerMeta) -> DataFrame:

@@ -57,6 +57,13 @@ def test_tile_size_does_not_matter(spark, cells, as_dict):
     assert all(v == pytest.approx(one[k]) for k, v in less.items()) and len(less) < len(one)
 
 
+def test_negative_friction_is_nodata(spark, cells, as_dict):
+    pace = {(x, y): -1.0 if x == 3 else 1.0 for x in range(6) for y in range(6)}
+    meta = LayerMeta(LATLNG, 0.0, 0.0, 6.0, 6.0, 1.0, 1.0, 4)
+    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9))
+    assert got.keys() == {c for c in pace if c[0] < 3}
+
+
 def test_no_source_on_the_layer(spark, cells):
     layer = cells({(0, 0): 1.0, (1, 0): 1.0})
     meta = LayerMeta(LATLNG, 0.0, 0.0, 4.0, 4.0, 1.0, 1.0, 4)
@@ -64,17 +71,28 @@ def test_no_source_on_the_layer(spark, cells):
     assert cost.cost_distance(layer, points, meta, 9.0).count() == 0
 
 
-def test_wide_wave_reads_all_blocks(spark, cells, as_dict, monkeypatch):
-    """With more blocks than may be named, or a block per tile, the costs are the same."""
+@pytest.mark.parametrize("bits", [0, 2, 8])
+def test_block_size_does_not_matter(spark, cells, as_dict, monkeypatch, tmp_path, bits):
+    """With a block for each tile or one for all, the costs are the same; the folders of the run are gone afterwards."""
     pace = {(x, y): 1.0 + (x + y) % 3 for x in range(16) for y in range(16)}
     meta = LayerMeta(LATLNG, 0.0, 0.0, 16.0, 16.0, 1.0, 1.0, 4)
     points = spark.createDataFrame([(1, 1), (14, 14)], "gx int, gy int")
     want = dijkstra(pace, [(1, 1), (14, 14)], 1.0, 1.0, 1e9)
-    for blocks, few in ((4096, 1), (4, 1000)):
-        monkeypatch.setattr(cost, "BLOCKS", blocks)
-        monkeypatch.setattr(cost, "FEW", few)
-        got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9))
-        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    monkeypatch.setattr(cost, "BLOCK_BITS", bits)
+    used = []
+    monkeypatch.setattr(cost, "fresh_dir", lambda s, name: used.append(str(tmp_path / name)) or used[-1])
+    got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert len(used) == 2 and not list(tmp_path.iterdir())
+
+
+def test_many_rounds(spark, cells, as_dict):
+    """A corridor that winds through many tiles takes a round for each, and ends at the exact costs."""
+    pace = {(x, y): 1.0 for x in range(24) for y in range(8) if not (x % 4 == 2 and y != (7 if x % 8 == 2 else 0))}
+    meta = LayerMeta(LATLNG, 0.0, 0.0, 24.0, 8.0, 1.0, 1.0, 4)
+    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9))
+    want = dijkstra(pace, [(0, 0)], 1.0, 1.0, 1e9)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
 def test_helpers_reach_workers_without_the_package(tmp_path):
