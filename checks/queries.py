@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,15 +135,13 @@ def _stored_dem(spark, d):
 @query
 def layer_read(spark, d):
     path = _stored_dem(spark, d)
-    return rounded(catalog.read_layer(spark, path, "dem", 0, fx.GRID.tile_size, num_partitions=16))
+    return rounded(catalog.read_layer(spark, path, "dem", 0, num_partitions=16))
 
 
 @query
 def layer_bbox(spark, d):
     path = _stored_dem(spark, d)
-    return rounded(
-        catalog.read_layer(spark, path, "dem", 0, fx.GRID.tile_size, meta=fx.GRID, extent=fx.BOX)
-    )
+    return rounded(catalog.read_layer(spark, path, "dem", 0, extent=fx.BOX))
 
 
 @query
@@ -219,9 +219,11 @@ def layer_save(spark, d):
 def levels_write(spark, d):
     path = fresh_dir(spark, "catalog")
     levels = _levels(spark, d)
-    catalog.write_levels(levels.where("zoom > 3"), path, "walk")
-    catalog.write_levels(levels.where("zoom <= 3"), path, "walk")
-    return rounded(_stored_levels(spark, path))
+    for part in ("zoom > 3", "zoom <= 3", "zoom <= 3"):  # a level written again is replaced
+        catalog.write_levels(levels.where(part), path, "walk")
+    zooms = [r["zoom"] for r in spark.read.schema(catalog.META).parquet(f"{path}/meta").select("zoom").collect()]
+    parts = [catalog.read_layer(spark, path, "walk", z).select(F.lit(z).alias("zoom"), "gx", "gy", "value") for z in sorted(zooms)]
+    return rounded(reduce(DataFrame.unionByName, parts))
 
 
 def _flat(tiles):

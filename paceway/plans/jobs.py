@@ -109,7 +109,7 @@ def save_friction_pyramid(
     out = friction_pyramid(elements, elevation, meta, **kw)
     out.histogram = stats.histogram(out.base)
     catalog.save_histogram(out.histogram, path, layer)
-    catalog.save_pyramid(out.levels, path, layer, out.meta.tile_size)
+    catalog.save_pyramid(out.levels, path, layer, out.meta)
     return out
 
 

@@ -1,8 +1,8 @@
 """Layer catalog on Parquet.
 
 Under one path: ``tiles`` holds packed tiles by layer and zoom along the z-curve, ``attributes`` the
-histograms, ``meta`` one row per layer and zoom. Every level is one partition folder, so replacing
-a level is a partition overwrite and reading it prunes all others.
+histograms, ``meta`` one row per layer and zoom with grid, tile size, cell type and key bounds. Every level is one partition folder, so replacing
+a level is a partition overwrite and reading it prunes all others; a level is read by name and zoom alone.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.meta import LayerMeta
+from paceway.meta import MERCATOR, WORLD, LayerMeta, layout_for_zoom
 from paceway.operators.layout import pack_tiles, unpack_tiles
 from paceway.operators.stats import classify, key_bounds
 from paceway.functions.grid import tile_of
@@ -41,14 +41,35 @@ def _tiles(levels: DataFrame, layer: str, tile_size: int) -> DataFrame:
     return packed.withColumn("layer", F.lit(layer))
 
 
-def save_pyramid(levels: DataFrame, path: str, layer: str, tile_size: int = 256) -> None:
-    """Write all levels; a level that exists already is replaced."""
-    _write(_tiles(levels, layer, tile_size), f"{path}/tiles", "overwrite")
+def _level_meta(levels: DataFrame, layer: str, like: LayerMeta) -> DataFrame:
+    """Metadata of world levels: one row per zoom, with the grid that follows from the zoom."""
+    x0, y0, x1, y1 = WORLD[like.crs]
+    col, row = tile_of("gx", like.tile_size), tile_of("gy", like.tile_size)
+    bounds = levels.where("value is not null").groupBy("zoom").agg(
+        F.min(col).alias("min_col"), F.min(row).alias("min_row"), F.max(col).alias("max_col"), F.max(row).alias("max_row")
+    )
+    side = F.lit(like.tile_size) * F.pow(F.lit(2.0), F.col("zoom"))
+    fields = {
+        "crs": F.lit(like.crs), "xmin": F.lit(x0), "ymin": F.lit(y0), "xmax": F.lit(x1), "ymax": F.lit(y1),
+        "cell_w": F.lit(x1 - x0) / side, "cell_h": F.lit(y1 - y0) / side, "tile_size": F.lit(like.tile_size),
+        "cell_type": F.lit(like.cell_type), "nodata": F.lit(like.nodata).cast("double"),
+    }
+    return bounds.select(*(c.alias(k) for k, c in fields.items()), "min_col", "min_row", "max_col", "max_row", F.lit(layer).alias("layer"), "zoom")
+
 
+def write_levels(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None) -> None:
+    """Write world levels ``(zoom, gx, gy, value)`` with their metadata, beside other levels; a level that exists already is replaced.
+
+    ``like`` gives projection, tile size and cell type; by default Web Mercator in tiles of 256.
+    """
+    like = like or layout_for_zoom(0, MERCATOR)
+    _write(_tiles(levels, layer, like.tile_size), f"{path}/tiles", "overwrite")
+    _write(_level_meta(levels, layer, like), f"{path}/meta", "overwrite")
 
-def write_levels(levels: DataFrame, path: str, layer: str, tile_size: int = 256) -> None:
-    """Add levels to the catalog beside what is there."""
-    _write(_tiles(levels, layer, tile_size), f"{path}/tiles", "append")
+
+def save_pyramid(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None) -> None:
+    """Write all levels of a pyramid; see :func:`write_levels`."""
+    write_levels(levels, path, layer, like)
 
 
 def save_histogram(hist: DataFrame, path: str, layer: str) -> None:
@@ -64,7 +85,7 @@ def read_histogram(spark: SparkSession, path: str, layer: str) -> DataFrame:
 
 def save_layer(cells: DataFrame, meta: LayerMeta, path: str, layer: str) -> None:
     """Write one layer at its zoom with its layout and key bounds."""
-    save_pyramid(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), path, layer, meta.tile_size)
+    _write(_tiles(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), layer, meta.tile_size), f"{path}/tiles", "overwrite")
     fields = {k: v for k, v in meta.as_dict().items() if k != "zoom"}
     bounds = key_bounds(cells.where("value is not null"), meta.tile_size)
     row = bounds.select(
@@ -84,22 +105,29 @@ def read_tiles(spark: SparkSession, path: str, layer: str, zoom: int) -> DataFra
     return rows.where((F.col("layer") == layer) & (F.col("zoom") == zoom))
 
 
+def layer_meta(spark: SparkSession, path: str, layer: str, zoom: int) -> LayerMeta:
+    """The stored grid of a level (one row to the driver)."""
+    row = read_meta(spark, path, layer, zoom).first()
+    if row is None:
+        raise ValueError(f"no layer {layer!r} at zoom {zoom} in {path}")
+    return LayerMeta(**{k: row[k] for k in ("crs", "xmin", "ymin", "xmax", "ymax", "cell_w", "cell_h", "tile_size", "cell_type", "nodata", "zoom")})
+
+
 def read_layer(
-    spark: SparkSession, path: str, layer: str, zoom: int, tile_size: int = 256,
-    num_partitions: int | None = None, meta: LayerMeta | None = None, extent=None,
+    spark: SparkSession, path: str, layer: str, zoom: int, num_partitions: int | None = None, extent=None,
 ) -> DataFrame:
-    """Cells of a stored level, or of its tiles that an extent touches.
+    """Cells of a stored level, or of its tiles that an extent touches; tile size and grid are those stored with it.
 
     The tile range is a plain comparison on stored columns, so it prunes row groups of the
     z-clustered files before any cell is unpacked.
     """
-    tiles = read_tiles(spark, path, layer, zoom)
+    tiles, meta = read_tiles(spark, path, layer, zoom), layer_meta(spark, path, layer, zoom)
     if extent is not None:
         c0, r0, c1, r1 = meta.tiles_in(extent)
         tiles = tiles.where(F.col("tile_col").between(c0, c1) & F.col("tile_row").between(r0, r1))
     if num_partitions:
         tiles = tiles.repartition(num_partitions, "tile_col", "tile_row")
-    return unpack_tiles(tiles, tile_size)
+    return unpack_tiles(tiles, meta.tile_size)
 
 
 def query_bbox(cells: DataFrame, meta: LayerMeta, extent) -> DataFrame:

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from paceway.meta import LATLNG, LayerMeta
+from paceway.meta import LATLNG, LayerMeta, layout_for_zoom
 from paceway.operators import layout
 from paceway.runtime import fresh_dir
 from paceway.sources import catalog, ingest, points
@@ -17,21 +17,30 @@ def level(cells, zoom, value):
 
 
 def test_saving_replaces_only_its_levels(spark, cells):
-    path = fresh_dir(spark, "catalog")
-    catalog.save_pyramid(level(cells, 3, 1).unionByName(level(cells, 2, 1)), path, "a", 8)
-    catalog.save_pyramid(level(cells, 3, 7), path, "b", 8)
-    catalog.save_pyramid(level(cells, 3, 5), path, "a", 8)
-    value = lambda layer, z: {r["value"] for r in catalog.read_layer(spark, path, layer, z, 8).collect()}
+    path, like = fresh_dir(spark, "catalog"), layout_for_zoom(0, LATLNG, 8)
+    catalog.save_pyramid(level(cells, 3, 1).unionByName(level(cells, 2, 1)), path, "a", like)
+    catalog.save_pyramid(level(cells, 3, 7), path, "b", like)
+    catalog.save_pyramid(level(cells, 3, 5), path, "a", like)
+    value = lambda layer, z: {r["value"] for r in catalog.read_layer(spark, path, layer, z).collect()}
     assert value("a", 3) == {5.0} and value("a", 2) == {1.0} and value("b", 3) == {7.0}
-    catalog.write_levels(level(cells, 3, 9), path, "a", 8)
-    assert value("a", 3) == {5.0, 9.0}
+    catalog.write_levels(level(cells, 3, 9), path, "a", like)
+    assert value("a", 3) == {9.0} and catalog.read_layer(spark, path, "a", 3).count() == 1600
+    assert catalog.layer_meta(spark, path, "a", 2) == layout_for_zoom(2, LATLNG, 8)
+    with pytest.raises(ValueError, match="no layer"):
+        catalog.read_layer(spark, path, "a", 5)
+
+
+def test_stored_tile_size_is_used(spark, cells, as_dict):
+    path = fresh_dir(spark, "catalog")
+    catalog.write_levels(cells({(300, 300): 4.0}).withColumn("zoom", F.lit(2)), path, "a")
+    assert as_dict(catalog.read_layer(spark, path, "a", 2)) == {(300, 300): 4.0}
 
 
 def test_reading_prunes(spark, cells):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     path = fresh_dir(spark, "catalog")
     catalog.save_layer(level(cells, 0, 1).drop("zoom"), GRID, path, "a")
-    part = catalog.read_layer(spark, path, "a", 0, 8, meta=GRID, extent=(9, 40, 12, 50))
+    part = catalog.read_layer(spark, path, "a", 0, extent=(9, 40, 12, 50))
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(layer" in plan
     assert "GreaterThanOrEqual(tile_col,1)" in plan and "LessThanOrEqual(tile_row,3)" in plan
