@@ -114,7 +114,7 @@ def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: i
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.list_(pa.int32())))], names=["toxic", "found"])
 
     toxic, owner, sentence, feature = [], [], [], []
-    for r in rows.mapInArrow(instances, "toxic int, found array<array<int>>").toLocalIterator():  # at most the sample, features only
+    for r in rows.mapInArrow(instances, "toxic int, found array<array<int>>").collect():  # at most the sample, features only
         for hits in r["found"]:
             sentence += [len(owner)] * len(hits)
             feature += hits
