@@ -29,6 +29,8 @@ from paceway.runtime import written
 
 CELLS = 1 << 16
 UNKNOWN = "und"
+#: What a cell counts before anything is seen; small, so that text of unseen trigrams is no language's.
+UNSEEN = 0.02
 
 # Main language of a country's address suffix.
 SUFFIX_LANGUAGE = {
@@ -110,10 +112,10 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
 
     sums = chosen.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     counts = {}
-    for r in sums.toLocalIterator():  # at most CELLS rows for each language
+    for r in sums.collect():  # at most CELLS rows for each language
         counts.setdefault(r["lang"], np.zeros(CELLS))[r["cell"]] = r["n"]
     languages = sorted(counts)
-    rows = [np.log((counts[name] + 0.5) / (counts[name].sum() + 0.5 * CELLS)) for name in languages]
+    rows = [np.log((counts[name] + UNSEEN) / (counts[name].sum() + UNSEEN * CELLS)) for name in languages]
     return languages, np.array([*rows, np.full(CELLS, -math.log(CELLS))], np.float32)
 
 
