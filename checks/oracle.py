@@ -9,13 +9,10 @@ from __future__ import annotations
 import math
 import re
 
+from checks import fixed as speed
 from checks import fixtures as fx
-from paceway.functions import speed
-from paceway.functions.terrain import METRES_PER_DEGREE
+from checks.fixed import COVER_WEIGHT, MAGMA, METRES_PER_DEGREE, ORDER_WEIGHT
 from paceway.meta import EARTH_RADIUS, LATLNG, MERCATOR, MERCATOR_EDGE, LayerMeta, layout_for_zoom
-from paceway.operators.features import ORDER_WEIGHT
-from paceway.operators.local import COVER_WEIGHT
-from paceway.operators.stats import RAMPS
 
 Z = 7
 MERC = layout_for_zoom(Z, MERCATOR)
@@ -542,7 +539,7 @@ oracle("histogram", _HIST.format(counted("fx_elev", 80)))
 oracle("histogram_256", _HIST.format(counted("fx_elev", 256)))
 oracle("quantile_breaks", f"select k, round(break_value, 6) as break_value from ({breaks('fx_elev', 10)}) b")
 CTE["l_breaks"] = breaks("fx_elev", 10)
-oracle("color_classes", f"""select gx, gy, round(value, 6) as value, c as class_index, {case('c', ((i, text(h)) for i, h in enumerate(RAMPS['magma'])))} as color
+oracle("color_classes", f"""select gx, gy, round(value, 6) as value, c as class_index, {case('c', ((i, text(h)) for i, h in enumerate(MAGMA)))} as color
  from (select e.*, cast(least(9, (select count(*) from l_breaks b where b.break_value < e.value)) as int) as c from fx_elev e where value is not null) a""")
 oracle("fixed_classes", f"""select gx, gy, round(value, 6) as value,
  cast(case when value < 8 then 0 when value >= 100 then 24 else floor(23e0 * (value - 8) / 92e0) + 1 end as int) as class_index from l_roads""")
