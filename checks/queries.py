@@ -14,12 +14,13 @@ from paceway.functions.terrain import tile_latitude, zfactor_latlng
 from paceway.meta import MERCATOR, layout_for_zoom
 from paceway.operators import cost, features, focal, layout, local, raster, stats, warp
 from paceway.plans import jobs
-from paceway.runtime import fresh_dir
+from paceway.runtime import fresh_dir, written
 from paceway.sources import catalog, ingest, osm, points
 
 Z = 7
 MERC = layout_for_zoom(Z, MERCATOR)
 FINE = fx.GRID.with_(cell_w=1 / 250, cell_h=1 / 250, xmax=-72.0 + 104 / 250, ymin=0.0)
+PARTS = 8  # partitions of jobs on the small tables; the defaults are for the planet
 QUERIES = {}
 
 
@@ -647,6 +648,13 @@ def partition_tiles(spark, d):
 
 
 # ---- jobs ---------------------------------------------------------------------------------------
+def _released(out, rows):
+    """The rows of a job, written, after which nothing of it stays in memory."""
+    done = written(rows(out), "job")
+    out.release()
+    return done
+
+
 def _friction_inputs(spark, d):
     return osm.read_osm(spark, fx.elements_orc(spark, d)), fx.dem_bands(spark, d), fx.GRID
 
@@ -654,25 +662,25 @@ def _friction_inputs(spark, d):
 @query
 def job_friction_pyramid(spark, d):
     path = fresh_dir(spark, "friction")
-    jobs.save_friction_pyramid(*_friction_inputs(spark, d), path, "friction").release()
+    jobs.save_friction_pyramid(*_friction_inputs(spark, d), path, "friction", partitions=PARTS).release()
     return rounded(_stored_levels(spark, path))
 
 
 @query
 def job_tile_counts(spark, d):
-    return jobs.count_friction_tiles(*_friction_inputs(spark, d), tile_size=256).tiles
+    return _released(jobs.count_friction_tiles(*_friction_inputs(spark, d), tile_size=256, partitions=PARTS), lambda out: out.tiles)
 
 
 @query
 def job_styled_tiles(spark, d):
-    return _flat(jobs.render_friction_tiles(*_friction_inputs(spark, d), "tiles", "friction").tiles)
+    return _released(jobs.render_friction_tiles(*_friction_inputs(spark, d), "tiles", "friction", partitions=PARTS), lambda out: _flat(out.tiles))
 
 
 @query
 def job_presence(spark, d):
     path = fresh_dir(spark, "presence")
     elements = osm.read_osm(spark, fx.elements_orc(spark, d))
-    jobs.save_presence_layer(elements, path, "presence", fx.ROADS).release()
+    jobs.save_presence_layer(elements, path, "presence", fx.ROADS, partitions=PARTS).release()
     return rounded(catalog.read_layer(spark, path, "presence", fx.ROADS.zoom))
 
 
@@ -689,7 +697,7 @@ def _costs(out):
     path = fresh_dir(spark, "travel")
     catalog.write_levels(out.levels, path, "friction")
     stored = _stored_levels(spark, path).withColumn("layer", F.lit("friction"))
-    return known(stored.unionByName(out.cost_levels.withColumn("layer", F.lit("cost"))), 4)
+    return _released(out, lambda o: known(stored.unionByName(o.cost_levels.withColumn("layer", F.lit("cost"))), 4))
 
 
 @query

@@ -116,7 +116,9 @@ def references(ways: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return rows.select("way_id", *carry, (F.col("pos") + 1).alias("seq"), "node_id")
 
 
-def link_references(refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def link_references(
+    refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = (), partitions: int | None = None
+) -> DataFrame:
     """Edges between neighbouring references of each way.
 
     ``refs(way_id, seq, node_id, <carry>)`` meets ``nodes`` in an equi-join, the second shuffle
@@ -137,7 +139,7 @@ def link_references(refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] =
         step = F.coalesce(step, F.when(open_ring, first))
     # a stated number of partitions is kept as it is: an edge of few bytes may become many cells,
     # so merging partitions by the size of their edges would starve the burning that follows
-    parts = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         placed.repartition(parts, "way_id")
         .withColumn("step", step)
@@ -154,14 +156,18 @@ def link_references(refs: DataFrame, nodes: DataFrame, carry: tuple[str, ...] =
     )
 
 
-def assemble_features(ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def assemble_features(
+    ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = (), partitions: int | None = None
+) -> DataFrame:
     """Lines and polygons in one pass. ``ways(way_id, refs, tags, ..)``; filter them first."""
     kept = ("kind", *carry)
-    return link_references(references(classify_geometry(ways), kept), nodes, kept)
+    return link_references(references(classify_geometry(ways), kept), nodes, kept, partitions)
 
 
-def assemble_lines(ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    return assemble_features(lines_of(ways), nodes, carry)
+def assemble_lines(
+    ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = (), partitions: int | None = None
+) -> DataFrame:
+    return assemble_features(lines_of(ways), nodes, carry, partitions)
 
 
 def assemble_polygons(ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

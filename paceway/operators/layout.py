@@ -18,7 +18,7 @@ def partition_tiles(tiles: DataFrame, n: int) -> DataFrame:
     return tiles.repartition(n, "tile_col", "tile_row")
 
 
-def pack_tiles(cells: DataFrame, tile_size: int, keys: tuple[str, ...] = ()) -> DataFrame:
+def pack_tiles(cells: DataFrame, tile_size: int, keys: tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
     """One row per tile with its cells as ``array<struct<px, value>>`` in pixel order.
 
     A tile has at most tile_size^2 cells, which bounds the group. Range partitioning on the z-curve
@@ -36,7 +36,7 @@ def pack_tiles(cells: DataFrame, tile_size: int, keys: tuple[str, ...] = ()) ->
     )
     order = [*keys, "z2"]
     return (
-        rows.repartitionByRange(*order)
+        rows.repartitionByRange(*([partitions] if partitions else []), *order)
         .groupBy(*keys, "z2", "tile_col", "tile_row")
         .agg(F.array_sort(F.collect_list("cell")).alias("cells"))
         .sortWithinPartitions(*order)

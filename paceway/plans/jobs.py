@@ -6,7 +6,6 @@ Every job takes DataFrames (or paths via ``paceway.sources``) and keyword parame
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -43,17 +42,8 @@ def _keep(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
     return kept[-1]
 
 
-@contextmanager
-def _shuffle_width(df: DataFrame, partitions: int | None):
-    """Shuffle partitions while a job runs, if the caller states a number."""
-    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    if partitions is not None:
-        conf.set(key, str(positive("partitions", partitions)))
-    try:
-        yield
-    finally:
-        conf.set(key, before)
+# partitions of the stages that burn, and of the saved tiles, on planet inputs (fixed values)
+FRICTION_PARTITIONS, PRESENCE_PARTITIONS = 15000, 10000
 
 
 def _mercator_layout(cells: DataFrame, meta: LayerMeta, tile_size: int) -> LayerMeta:
@@ -71,34 +61,36 @@ def elevation_layer(elevation: DataFrame, meta: LayerMeta, tiny: bool = False) -
     return raster.band(raster.with_nodata(cells, 0), 0) if "band" in cells.columns else raster.with_nodata(cells, 0)
 
 
-def road_layer(elements: DataFrame, meta: LayerMeta, cell_type: str = "float64") -> DataFrame:
+def road_layer(
+    elements: DataFrame, meta: LayerMeta, cell_type: str = "float64", partitions: int | None = None
+) -> DataFrame:
     """Fastest road per cell, lines and areas, by the tag chain."""
     wanted = osm.highways(osm.roads_and_water(osm.ways_of(elements)))
-    shapes = features.assemble_features(features.chain_value(wanted), osm.nodes_of(elements), ("value",))
+    shapes = features.assemble_features(features.chain_value(wanted), osm.nodes_of(elements), ("value",), partitions)
     return raster.rasterize_features(shapes, meta, cell_type)
 
 
 def friction_surface(
     elements: DataFrame, elevation: DataFrame, meta: LayerMeta, *, tiny: bool = False,
-    cell_type: str = "float64",
+    cell_type: str = "float64", partitions: int | None = None,
 ) -> DataFrame:
     """Speed per cell on the elevation grid: the faster of walking and driving."""
     walk = local.tobler(focal.slope(elevation_layer(elevation, meta, tiny), meta))
-    return local.merge_max(walk, road_layer(elements, meta, cell_type))
+    return local.merge_max(walk, road_layer(elements, meta, cell_type, partitions))
 
 
 def friction_pyramid(
-    elements: DataFrame, elevation: DataFrame, meta: LayerMeta, *, partitions: int | None = None,
+    elements: DataFrame, elevation: DataFrame, meta: LayerMeta, *, partitions: int = FRICTION_PARTITIONS,
     tiny: bool = False, method: str = "nearest", cell_type: str = "float64", tile_size: int = 256,
 ) -> Surface:
     """Friction surface in Web Mercator with all coarser zooms."""
     kept: list[DataFrame] = []
-    with _shuffle_width(elements, partitions):
-        merged = friction_surface(elements, elevation, meta, tiny=tiny, cell_type=cell_type)
-        merged = _keep(merged, kept)
-        dst = _mercator_layout(merged, meta, tile_size)
-        base = _keep(warp.reproject_bilinear(merged, meta, dst), kept)
-        levels = warp.pyramid(base, dst.zoom, 0, method)
+    parts = positive("partitions", partitions)
+    merged = friction_surface(elements, elevation, meta, tiny=tiny, cell_type=cell_type, partitions=parts)
+    merged = _keep(merged, kept)
+    dst = _mercator_layout(merged, meta, tile_size)
+    base = _keep(warp.reproject_bilinear(merged, meta, dst), kept)
+    levels = warp.pyramid(base, dst.zoom, 0, method)
     return Surface(base, dst, levels, kept=kept)
 
 
@@ -109,7 +101,7 @@ def save_friction_pyramid(
     out = friction_pyramid(elements, elevation, meta, **kw)
     out.histogram = stats.histogram(out.base)
     catalog.save_histogram(out.histogram, path, layer)
-    catalog.save_pyramid(out.levels, path, layer, out.meta)
+    catalog.save_pyramid(out.levels, path, layer, out.meta, kw.get("partitions", FRICTION_PARTITIONS))
     return out
 
 
@@ -136,12 +128,15 @@ def render_friction_tiles(
 
 
 # ---- presence of roads and water ----------------------------------------------------------------
-def presence_layer(elements: DataFrame, meta: LayerMeta | None = None) -> Surface:
+def presence_layer(
+    elements: DataFrame, meta: LayerMeta | None = None, partitions: int = PRESENCE_PARTITIONS
+) -> Surface:
     """2 on roads, 1 on water, at zoom 13 unless another layout is given."""
     meta = meta or layout_for_zoom(13)
     elements = osm.patch_visible(elements)
     ways = features.presence_value(osm.roads_and_water(osm.ways_of(elements)))
-    shapes = features.assemble_features(ways, osm.nodes_of(elements), ("value",))
+    parts = positive("partitions", partitions)
+    shapes = features.assemble_features(ways, osm.nodes_of(elements), ("value",), parts)
     kept: list[DataFrame] = []
     base = _keep(raster.rasterize_features(shapes, meta, "int8"), kept)
     return Surface(base, meta.with_(cell_type="int8"), kept=kept)
@@ -149,11 +144,10 @@ def presence_layer(elements: DataFrame, meta: LayerMeta | None = None) -> Surfac
 
 def save_presence_layer(
     elements: DataFrame, path: str, layer: str, meta: LayerMeta | None = None, *,
-    partitions: int | None = None,
+    partitions: int = PRESENCE_PARTITIONS,
 ) -> Surface:
-    with _shuffle_width(elements, partitions):
-        out = presence_layer(elements, meta)
-        catalog.save_layer(out.base, out.meta, path, layer)
+    out = presence_layer(elements, meta, partitions)
+    catalog.save_layer(out.base, out.meta, path, layer, partitions)
     return out
 
 
@@ -180,10 +174,12 @@ def _cost_of(
     )
 
 
-def notebook_roads(elements: DataFrame, meta: LayerMeta, unit: str, cell_type: str) -> DataFrame:
+def notebook_roads(
+    elements: DataFrame, meta: LayerMeta, unit: str, cell_type: str, partitions: int | None = None
+) -> DataFrame:
     """Line features only, speed from free text."""
     wanted = features.notebook_value(osm.highways(osm.ways_of(elements)), unit)
-    lines = features.assemble_lines(wanted, osm.nodes_of(elements), ("value",))
+    lines = features.assemble_lines(wanted, osm.nodes_of(elements), ("value",), partitions)
     return raster.rasterize_features(lines, meta, cell_type, lines_only=True)
 
 
@@ -191,6 +187,7 @@ def travel_cost(
     elements: DataFrame, elevation: DataFrame, points: DataFrame, meta: LayerMeta, *,
     layout: LayerMeta | None = None, extent=None, first: int | None = None,
     max_cost: float = 150000.0, cell_type: str = "float64", tile_size: int = 256,
+    partitions: int | None = None,
 ) -> Surface:
     """Seconds of travel from points over roads and walking ground.
 
@@ -202,7 +199,7 @@ def travel_cost(
     ground = catalog.query_bbox(elevation, meta, extent) if extent else elevation
     ground = raster.convert(warp.regrid(ground, meta, layout), "int16", 0)
     walk = local.tobler(focal.slope(ground, layout))
-    friction = local.local_max(walk, notebook_roads(elements, layout, "kmh", cell_type), fill=0.0)
+    friction = local.local_max(walk, notebook_roads(elements, layout, "kmh", cell_type, partitions), fill=0.0)
     if first is not None:
         points = features.first_k(points, first, "pt_id")
     return _cost_of(friction, points, layout, 3.6, max_cost, -2147483648.0, tile_size, [])
@@ -211,7 +208,7 @@ def travel_cost(
 def adjusted_travel_cost(
     elements: DataFrame, elevation: DataFrame, cover: DataFrame, flowlines: DataFrame,
     points: DataFrame, meta: LayerMeta, extent, *, max_cost: float = 100000.0,
-    cell_type: str = "float64", tile_size: int = 256,
+    cell_type: str = "float64", tile_size: int = 256, partitions: int | None = None,
 ) -> Surface:
     """Travel cost in mph with land cover, streams and paths in the walking speed.
 
@@ -224,7 +221,7 @@ def adjusted_travel_cost(
         features.const_value(paths).withColumn("walked", F.lit(True))
     )
     # roads and paths are assembled and burnt together: one join with the nodes, one grouping
-    edges = features.assemble_lines(wanted, nodes, ("value", "walked"))
+    edges = features.assemble_lines(wanted, nodes, ("value", "walked"), partitions)
     burnt = raster.rasterize_lines(edges, meta, ("value", "walked")).groupBy("gx", "gy").agg(
         F.max(F.when(~F.col("walked"), F.col("value"))).alias("road"),
         F.max(F.when(F.col("walked"), F.col("value"))).alias("path"),
@@ -236,7 +233,7 @@ def adjusted_travel_cost(
         return raster.cast_cells(cells, kind)
 
     flows = features.order_weight(features.valid_order(features.filter_ftype(flowlines)))
-    flow_edges = features.link_references(features.references(flows, ("value",)), nodes, ("value",))
+    flow_edges = features.link_references(features.references(flows, ("value",)), nodes, ("value",), partitions)
     flow_cells = raster.rasterize_features(flow_edges, meta, "float64", lines_only=True)
     cover_cells = local.reclassify(local.mask_extent(cover, meta, extent))
     ground = raster.convert(local.mask_extent(elevation, meta, extent), "float32", 0.0)

@@ -34,10 +34,10 @@ def _write(df: DataFrame, path: str, mode: str) -> None:
     writer.parquet(path)
 
 
-def _tiles(levels: DataFrame, layer: str, tile_size: int) -> DataFrame:
+def _tiles(levels: DataFrame, layer: str, tile_size: int, partitions: int | None = None) -> DataFrame:
     """Packed tiles of (zoom, gx, gy, value) rows, clustered for storage."""
     rows = levels.select("zoom", "gx", "gy", F.col("value").cast("double").alias("value"))
-    packed = pack_tiles(rows, tile_size, ("zoom",))
+    packed = pack_tiles(rows, tile_size, ("zoom",), partitions)
     return packed.withColumn("layer", F.lit(layer))
 
 
@@ -57,19 +57,19 @@ def _level_meta(levels: DataFrame, layer: str, like: LayerMeta) -> DataFrame:
     return bounds.select(*(c.alias(k) for k, c in fields.items()), "min_col", "min_row", "max_col", "max_row", F.lit(layer).alias("layer"), "zoom")
 
 
-def write_levels(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None) -> None:
+def write_levels(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None) -> None:
     """Write world levels ``(zoom, gx, gy, value)`` with their metadata, beside other levels; a level that exists already is replaced.
 
     ``like`` gives projection, tile size and cell type; by default Web Mercator in tiles of 256.
     """
     like = like or layout_for_zoom(0, MERCATOR)
-    _write(_tiles(levels, layer, like.tile_size), f"{path}/tiles", "overwrite")
+    _write(_tiles(levels, layer, like.tile_size, partitions), f"{path}/tiles", "overwrite")
     _write(_level_meta(levels, layer, like), f"{path}/meta", "overwrite")
 
 
-def save_pyramid(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None) -> None:
+def save_pyramid(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None) -> None:
     """Write all levels of a pyramid; see :func:`write_levels`."""
-    write_levels(levels, path, layer, like)
+    write_levels(levels, path, layer, like, partitions)
 
 
 def save_histogram(hist: DataFrame, path: str, layer: str) -> None:
@@ -83,9 +83,9 @@ def read_histogram(spark: SparkSession, path: str, layer: str) -> DataFrame:
     return rows.where(F.col("layer") == layer).select("bin", "lo", "hi", "n")
 
 
-def save_layer(cells: DataFrame, meta: LayerMeta, path: str, layer: str) -> None:
+def save_layer(cells: DataFrame, meta: LayerMeta, path: str, layer: str, partitions: int | None = None) -> None:
     """Write one layer at its zoom with its layout and key bounds."""
-    _write(_tiles(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), layer, meta.tile_size), f"{path}/tiles", "overwrite")
+    _write(_tiles(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), layer, meta.tile_size, partitions), f"{path}/tiles", "overwrite")
     fields = {k: v for k, v in meta.as_dict().items() if k != "zoom"}
     bounds = key_bounds(cells.where("value is not null"), meta.tile_size)
     row = bounds.select(
