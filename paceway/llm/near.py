@@ -8,8 +8,9 @@ Points come in ascending order, so a process ends once it is later than all comp
 **Candidates.** Texts with the same words are one node. Nodes that agree on all rows of a band share a bucket. With 24 bands of 4 rows a pair at similarity
 0.8 shares none with a chance of 3e-6.
 
-**Verification** counts the overlap of both bags. Pairs of a bucket are never all written out: a few rounds compare every member with two hubs of the bucket, links join components, and
-and what is still apart from the component of the bucket's first node is then compared with all members outside its own component. So every candidate pair is either compared or joined by a path of verified links: the classes are those of all links.
+**Verification** counts the overlap of both bags. Pairs of a bucket are never all written out. First every member is compared with three hubs, among them the node that shares most buckets, which in a group of copies
+is the original; links join components. Then what is still apart from the hub's component is compared with all members outside its own component, but for pairs that three exact bounds rule out
+(see :func:`_rest`). So every candidate pair is compared, ruled out, or joined by a path of verified links: the classes are those of all links.
 
 Edge cases: words are those of :func:`paceway.llm.text.words`; a text of fewer than ``size`` words is one shingle; null, empty and wordless texts are similar to nothing and form
 a class each; repeated rows are members of one class; null ids rank lowest; an empty table gives no rows; other columns are not read, and :func:`keep` returns them.
@@ -26,7 +27,7 @@ from paceway.llm.graph import components
 from paceway.runtime import written
 
 #: Rounds of hubs before the rest of a bucket is compared exactly.
-ROUNDS = 2
+ROUNDS = 1
 
 
 def _kernel():
@@ -184,8 +185,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int,
     return texts.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts ``(node, n, text)`` reach the threshold, with ``similarity``."""
+def compared(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """The pairs ``(a, b)`` of texts ``(node, n, text)`` with their ``similarity``; pairs too different in size to reach the threshold are left out."""
     kernel = _kernel()
 
     def run(batches):
@@ -198,15 +199,12 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) ->
             return numbered(shingles([text], size)[0])
 
         for batch in batches:
-            a, b, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            a, out = batch.column(0).to_pylist(), []
             for i in range(len(batch)):
                 if a[i] != last:  # pairs come sorted by their first node
                     last, last_bag = a[i], bag(batch.column(2)[i].as_py())
-                s = similarity(last_bag, bag(batch.column(3)[i].as_py()))
-                if s >= threshold:
-                    out.append((a[i], b[i], s))
-            columns = zip(*out, strict=True) if out else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["a", "b", "similarity"])
+                out.append(similarity(last_bag, bag(batch.column(3)[i].as_py())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
     first = texts.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("text").alias("ta"))
     second = texts.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("text").alias("tb"))
@@ -215,44 +213,123 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) ->
     return met.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, similarity double")
 
 
+def _shared_at_most(texts: DataFrame, size: int) -> DataFrame:
+    """``(node, most)``: how many of its shingles a node can share with any other of these nodes; an occurrence that no other has is out."""
+    kernel = _kernel()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        shingles, _, _, _, numbered, _ = kernel
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                elements = numbered(shingles([text], size)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(elements), node, np.int64)), pa.array(elements.view(np.int64))], names=["node", "element"])
+
+    each = texts.select("node", "text").mapInArrow(run, "node long, element long")
+    shared = each.groupBy("element").agg(F.count("*").alias("holders"), F.min("node").alias("node"))
+    alone = shared.where("holders = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    return texts.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+
+
+def _outlines(texts: DataFrame, size: int) -> DataFrame:
+    """``(node, outline)``: how many elements of the bag fall on each of 1,024 parts, the k-th 16 numbers having a bit for each part with at least k.
+
+    Two bags share at most as many elements as the bits that both outlines have.
+    """
+    kernel = _kernel()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        shingles, _, _, _, numbered, _ = kernel
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                counts = np.bincount((numbered(shingles([text], size)[0]) & np.uint64(1023)).astype(np.int64), minlength=1024)
+                levels = counts[None, :] >= np.arange(1, counts.max() + 1)[:, None]
+                out.append(np.packbits(levels, axis=1).view(np.int64).reshape(-1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["node", "outline"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, outline array<long>")
+
+
 def _rounds(buckets: DataFrame, texts: DataFrame, threshold: float, size: int, rounds: int) -> DataFrame:
-    """``(node, root)`` of the components that all links between members of a bucket make."""
-    none = buckets.sparkSession.createDataFrame([], "a long, b long")
-    stars, tried = none.select(F.col("a").alias("node"), F.col("b").alias("root")), none
+    """``(node, root)`` of the components that all links between members of a bucket make.
+
+    ``buckets (key, node, rank)``; of high rank are nodes that share large buckets, as the original of many copies does.
+    """
+    none = buckets.sparkSession.createDataFrame([], "a long, b long, similarity double")
+    stars, tried, centres = none.select(F.col("a").alias("node"), F.col("b").alias("root")), none, None
     for turn in range(rounds + 1):
-        rooted = buckets.join(stars, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        ends = F.min("root").alias("least"), F.max("root").alias("most"), F.min_by("root", "node").alias("main")
+        rooted = buckets.join(stars, "node", "left").select("key", "node", "rank", F.coalesce("root", "node").alias("root"))
+        ends = F.min("root").alias("least"), F.max("root").alias("most"), F.max_by("root", "rank").alias("main")
         still = rooted.groupBy("key").agg(*ends).where("least <> most").select("key", "main")
         members = written(rooted.join(still, "key"), "members")  # of the buckets that hold more than one component
         if members.isEmpty():
             break
         apart = members.where("root <> main")
         if turn < rounds:
-            # Hubs: one node of the main component and two outside it, others in every round.
-            chance = F.xxhash64("node", F.lit(turn))
-            hubs = members.where("root = main").groupBy("key").agg(F.min_by("node", chance).alias("hub"))
-            hubs = hubs.union(apart.groupBy("key").agg(F.min_by("node", chance).alias("hub"))).union(apart.groupBy("key").agg(F.max_by("node", chance).alias("hub")))
-            pairs = hubs.distinct().join(members.select("key", "node"), "key").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+            # Hubs: the node of highest rank, inside the main component and outside it, and any other outside, a new one in every round.
+            inner = members.where("root = main").groupBy("key").agg(F.max_by("node", "rank").alias("hub"))
+            outer = (apart.groupBy("key").agg(by("node", order).alias("hub")) for by, order in ((F.max_by, F.col("rank")), (F.min_by, F.xxhash64("node", F.lit(turn)))))
+            centres = inner if centres is None else centres
+            hubs = inner.union(next(outer)).union(next(outer)).distinct()
+            pairs = hubs.join(members.select("key", "node"), "key").select(F.col("hub").alias("a"), F.col("node").alias("b"))
         else:
-            one = apart.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-            other = members.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
-            pairs = one.join(other, "key").where("ra <> rb and (rb = main or a < b)").select("a", "b")
+            pairs = _rest(members, apart, centres, tried, texts, threshold, size)
         pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = verified(pairs, texts, threshold, size).select("a", "b")
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        found = written(compared(pairs, texts, threshold, size), "compared")
+        links = found.where(F.col("similarity") >= threshold)
         stars = components(stars.union(links.select("b", "a")).toDF("a", "b"))
-        tried = tried.union(pairs)
+        tried = tried.union(found)
     return stars
 
 
+def _rest(members: DataFrame, apart: DataFrame, centres: DataFrame | None, tried: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Pairs of a bucket in different components that may still be linked.
+
+    Three exact bounds leave out what cannot: the overlap is at most what both can share with anyone here, and at most what their outlines share; and, distance being a metric, two nodes are at least as far
+    apart as their distances to the bucket's first hub differ.
+    """
+    nodes = members.select("node").distinct()
+    left = written(texts.join(nodes, "node", "left_semi"), "left")
+    limits = written(_shared_at_most(left, size).join(_outlines(left, size), "node"), "limits")
+    if centres is None:
+        far = members.select("key", "node", F.lit(None).cast("double").alias("far"))
+    else:
+        seen = tried.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity").union(tried.select("b", "a", "similarity"))
+        far = members.select("key", "node").join(centres, "key").join(seen, ["hub", "node"]).select("key", "node", (1 - F.col("similarity")).alias("far"))
+    known = members.join(far, ["key", "node"], "left").join(limits, "node").select("key", "node", "root", "main", "n", "most", "far", "outline")
+    known = written(known, "rest")
+    one = known.where("root <> main").select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
+    other = known.select("key", "main", *(F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
+    small = 1e-9
+
+    def enough(overlap):
+        return overlap >= threshold * (F.col("a_n") + F.col("b_n") - overlap) - small
+
+    can_share = enough(F.least("a_most", "b_most"))
+    bits = F.zip_with("a_outline", "b_outline", lambda x, y: F.coalesce(F.bit_count(x.bitwiseAND(y)), F.lit(0)))
+    in_outline = enough(F.aggregate(bits, F.lit(0), lambda total, n: total + n))
+    near = F.coalesce(F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + small, F.lit(True))
+    met = one.join(other, "key").where((F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node"))) & F.when(can_share & near, in_outline).otherwise(False))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
 def find(docs: DataFrame, id_col="doc_id", text_col="text", threshold=0.8, size=5, bands=24, rows=4, rounds=ROUNDS) -> DataFrame:
     """One row per input row: ``id, text_key, class_id`` (least id of the class), ``group_size``, ``kept`` (one row of each class, with that id)."""
     sketched = written(sketches(docs, id_col, text_col, size, bands, rows).withColumn("row", F.monotonically_increasing_id()), "sketches")
     nodes = sketched.where("words is not null").groupBy("words").agg(F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spread = nodes.select("node", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    shared = spread.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     buckets = written(spread.join(shared, "key"), "buckets")
+    rank = F.shiftleft(F.sum("members"), 24) + F.shiftrightunsigned(F.xxhash64("node"), 40)
+    buckets = written(buckets.join(buckets.groupBy("node").agg(rank.alias("rank")), "node").select("key", "node", "rank"), "ranked")
 
     wanted = buckets.select("node").distinct().join(nodes.select("node", "n", "text_key"), "node")
     texts = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).withColumn("text_key", F.md5("text"))

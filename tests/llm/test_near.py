@@ -84,6 +84,21 @@ def test_exact_rest_finds_chains(spark):
         assert [got[i] for i in range(len(chain))] == want
 
 
+def test_hot_group_and_shared_passage(spark):
+    """Copies of one text with few and with many edits, and texts that only share a passage."""
+    rng = random.Random(21)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    hot, passage = fresh(150), fresh(60)
+    texts = [edited(rng, hot, rng.randrange(0, 9)) for _ in range(120)]
+    texts += [passage + " " + fresh(rng.randrange(5, 60)) for _ in range(120)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_classes(texts)
+    for rounds in (0, 1, 2):
+        got = {r["id"]: r["class_id"] for r in near.find(docs, rounds=rounds).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_repeated_rows_and_nulls(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "A b c d e f"), (None, None), (None, None), (2, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
