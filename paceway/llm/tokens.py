@@ -2,7 +2,7 @@
 
 **Compilation.** A token sequence is what the merges give exactly if each neighbouring pair is what the merges give for its two tokens. So the encoding of a prefix ends with the longest token that fits what
 stands before it, and the encoding after the next byte depends only on the tokens that end at the last few places, back to the longest suffix that still begins some token. That is a
-state; a transition on a byte carries how many tokens the count changes by. States are compiled when they are first met and kept, up to ``cached`` transitions. The splitter of text into words
+state; a transition on a byte carries how many tokens the count changes by. States are compiled when they are first met and kept, up to ``cached`` transitions (and the counts of twice as many words). The splitter of text into words
 (contractions, letters, digits, other signs, white space with its look-ahead) runs in front of it and resets the state where a word ends.
 
 **Chunks.** A text is cut into chunks of ``chunk`` characters. At a single space after a sign that is not white space, every state leads to the same one, so the map of a chunk from entry state to exit state and
@@ -40,24 +40,24 @@ def _machine():
             ranks[as_bytes(a), as_bytes(b)] = i
         special = [t["content"] for t in spec.get("added_tokens", [])]
 
-        def merged(word):
-            """Tokens of a word by the merges themselves; used on single tokens and pairs only."""
-            parts = [bytes([b]) for b in word]
+        none = len(ranks)
+
+        def stay_apart(a, b):
+            """Whether the merges leave two tokens that stand together as they are: no merge over the seam comes first."""
+            parts, seam = [*(a[i : i + 1] for i in range(len(a))), *(b[i : i + 1] for i in range(len(b)))], len(a)
             while len(parts) > 1:
-                best = min(range(len(parts) - 1), key=lambda i: ranks.get((parts[i], parts[i + 1]), 1 << 60))
-                pair = parts[best], parts[best + 1]
-                if pair not in ranks:
+                best = none
+                for i in range(len(parts) - 1):
+                    r = ranks.get((parts[i], parts[i + 1]), none)
+                    if r < best:
+                        best, at = r, i
+                if best == none:
                     break
-                out, i = [], 0
-                while i < len(parts):
-                    if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                        out.append(pair[0] + pair[1])
-                        i += 2
-                    else:
-                        out.append(parts[i])
-                        i += 1
-                parts = out
-            return parts
+                if at + 1 == seam:
+                    return False
+                seam -= at + 1 < seam
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            return parts == [a, b]
 
         singles = [bytes([b]) for b in range(256)]
         tokens = {a + b for a, b in ranks} | set(singles)
@@ -69,7 +69,7 @@ def _machine():
             if pair is None:
                 if len(fits) > cached:
                     fits.clear()
-                pair = fits[a, b] = merged(a + b) == [a, b]
+                pair = fits[a, b] = stay_apart(a, b)
             return pair
 
         def state(key):
@@ -78,25 +78,28 @@ def _machine():
                 names.append(key)
             return states[key]
 
-        # A state: the longest suffix that begins a token, and for every place in it, from its start on, the token that ends there and the
-        # tokens up to there, less those up to the end.
+        # A state: the longest suffix that begins a token, and for every place in it where a token may have begun, the token that ends there
+        # and the tokens up to there, less those up to the end.
         start = state((b"", ((None, 0),)))
 
         def compile_move(at, b):
             suffix, ends = names[at]
             text = suffix + bytes([b])
-            for back in range(len(text), 0, -1):  # the longest token that fits what stands before it
-                token = text[-back:]
+            for at_place, here in enumerate(ends):  # the longest token that fits what stands before it
+                if here is None:
+                    continue
+                token = text[at_place:]
                 if token in tokens:
-                    before, count = ends[len(text) - back]
+                    before, count = here
                     if before is None or compatible(before, token):
                         break
             change = count + 1
-            ends = [*((t, n - change) for t, n in ends), (token, 0)]
             keep = len(text)
             while keep and text[-keep:] not in begins:
                 keep -= 1
-            moves[at, b] = out = state((text[len(text) - keep :], tuple(ends[len(ends) - 1 - keep :]))), change
+            left = text[len(text) - keep :]
+            kept = [e and (e[0], e[1] - change) if left[i:] in begins else None for i, e in enumerate(ends[len(ends) - keep :] if keep else ())]
+            moves[at << 8 | b] = out = state((left, (*kept, (token, 0)))), change
             return out
 
         def word_count(word):
@@ -106,9 +109,9 @@ def _machine():
                 names.clear()
                 moves.clear()
                 start = state((b"", ((None, 0),)))
-            at, n = start, 0
+            at, n, get = start, 0, moves.get
             for b in word.encode("utf-8", "replace"):
-                step = moves.get((at, b))
+                step = get(at << 8 | b)
                 at, change = step or compile_move(at, b)
                 n += change
             return n
@@ -173,18 +176,24 @@ def _machine():
             return total
 
         settled = re.compile(r"(?<=\S) ")
-        known = {}
+        known, signs = {}, set("!#$%&()*+,-./:;=?@")
 
         def count(stretches):
             """Tokens of stretches that each begin with the space that settles them."""
-            if len(known) + len(words) > cached:
+            if len(known) + len(words) > 2 * cached:
                 known.clear()
                 words.clear()
             total, get = 0, known.get
             for s in stretches:
                 n = get(s)
                 if n is None:
-                    n = run(" " + s)
+                    if s.isalpha():  # one word, and no need to look for others
+                        n = word_count(" " + s)
+                    elif s[-1:] in signs and s[:-1].isalpha():
+                        n = get(s[:-1])
+                        n = (word_count(" " + s[:-1]) if n is None else n) + 1
+                    else:
+                        n = run(" " + s)
                     if len(s) <= 32:
                         known[s] = n
                 total += n
@@ -211,31 +220,39 @@ def _machine():
             parts = settled.split(open_text)
             return total + run(parts[0]) + count(parts[1:])
 
-        return chunk_map, compose
+        def close():
+            """Let go of the tables, which the functions here hold in a circle."""
+            for table in (ranks, tokens, begins, fits, states, moves, words, known, kinds):
+                table.clear()
+            names.clear()
+
+        return chunk_map, compose, close
 
     return make
 
 
-def count(docs: DataFrame, vocabulary: str, id_col="doc_id", text_col="text", limit: int = 512, chunk: int = 1 << 16, cached: int = 300_000) -> DataFrame:
+def count(docs: DataFrame, vocabulary: str, id_col="doc_id", text_col="text", limit: int = 512, chunk: int = 1 << 16, cached: int = 500_000) -> DataFrame:
     """One row per input row: ``id, n_bytes, n_tokens, over_limit``. ``vocabulary`` is a byte-level BPE file of the tokenizers library."""
     make = _machine()
 
     def maps(batches):
         import pyarrow as pa
 
-        chunk_map, _ = make(vocabulary, cached)
+        chunk_map, _, close = make(vocabulary, cached)
         for batch in batches:
             made = [chunk_map(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             head, n, tail = ([m[i] for m in made] for i in range(3))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(head, pa.string()), pa.array(n, pa.int64()), pa.array(tail, pa.string())], names=names)
+        close()
 
     def totals(batches):
         import pyarrow as pa
 
-        _, compose = make(vocabulary, cached)
+        _, compose, close = make(vocabulary, cached)
         for batch in batches:
             n = [compose([(m["head"], m["n"], m["tail"]) for m in row]) for row in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["id", "n_bytes", "n_tokens"])
+        close()
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
     last = F.greatest((F.char_length("text") - 1).cast("long"), F.lit(0).cast("long")) / chunk
