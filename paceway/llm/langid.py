@@ -247,6 +247,8 @@ def identify(
 
     found, sure = best("q")
     out = fused.select("id", "sign", found.alias("lang"), sure.alias("confidence"), best("p")[0].alias("text_lang"), "declared", "host")
+    # Written, so that a filter on the result is not worked into the nested expressions above.
+    out = written(out, "languages")
     return out.withColumn("rejected", (F.col("lang") == UNKNOWN) | (F.col("confidence") < least))
 
 
