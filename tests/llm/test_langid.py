@@ -115,6 +115,18 @@ def test_keep_repeated_rows_and_empty(spark, model):
     assert empty[0] == [] and langid.keep(docs, empty).count() == 0
 
 
+def test_rare_language_has_a_model(spark):
+    """A language of three rows beside thousands: the sample is far below its share, and it must be learned and found all the same."""
+    rng = random.Random(5)
+    rows = [(i, sentence(rng, "en", 12), "en") for i in range(3000)] + [(5000 + i, sentence(rng, "fr", 12), "fr") for i in range(3)] + [(6000, "12 34", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = langid.train(docs, sample=20)
+    assert small[0] == ["en", "fr"]
+    rare = docs.where("lang = 'fr'")
+    got = langid.identify(rare, small, "doc_id", F.col("text"), F.col("lang")).collect()
+    assert [(r["lang"], r["declared"], r["rejected"]) for r in got] == [("fr", "fr", False)] * 3
+
+
 def test_page_evidence(spark):
     html = '<!doctype html><HTML class="a" lang="fr-CA"><script>var x="<p>";</script><style>p{}</style><p>Bonjour &amp; <b>salut</b><!-- non --></p>'
     r = spark.createDataFrame([(html, "https://me@WWW.Example.fr:80/x")], "h string, u string").select(
