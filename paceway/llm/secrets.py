@@ -2,7 +2,8 @@
 
 Candidates are the base spans of three kinds: assignments, access keys and hex strings. Where a match lies follows from what the pattern splits off before it, so patterns run as built-in
 expressions and no text leaves its task. The value of every candidate is hashed; over the whole corpus a hash is counted by different owners and repositories, each folded before the shuffle, so
-a value that a third of all texts carry costs a task one row per owner. A value of more than ``owners`` owners is an example that people copied; one that stays within them looks live.
+a value that a third of all texts carry costs a task one row per owner. A value of more than ``owners`` owners, or of more than ``repositories`` repositories, is an example that people copied; one that
+stays within both looks live.
 The method adds the place of every live-looking value as a span of kind ``live``; base spans stay as they are.
 
 Spans are in code points, the end exclusive, ordered by start, then kind as in ``KINDS``. Letters of keywords match A-Z in either case, nothing else. Edge cases: null and empty texts have no spans;
@@ -64,7 +65,8 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, id_col="doc_id", text_col="text", owner: Column | None = None, repository: Column | None = None, owners: int = 1, repositories: int | None = None) -> DataFrame:
     """One row per input row: ``id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example``.
 
-    A value looks live if at most ``owners`` owners have it (and, if given, at most ``repositories`` repositories).
+    A value looks live if at most ``owners`` owners have it (and, if given, at most ``repositories`` repositories). With ``repositories`` the rows also have ``n_owners`` and ``n_repositories``:
+    by how many different ones the value of each base span is carried, in the order of the base spans.
     """
     none = F.lit(None).cast("string")
     base = written(candidates(docs, id_col, text_col, none if owner is None else owner, none if repository is None else repository), "candidates")
@@ -76,11 +78,14 @@ def scan(docs: DataFrame, id_col="doc_id", text_col="text", owner: Column | None
     live = F.col("n_owners") <= owners
     if repositories is not None:
         live = live & (F.col("n_repositories") <= repositories)
-    judged = each.join(where.select("hash", live.alias("live")), "hash")
+    judged = each.join(where.select("hash", live.alias("live"), "n_owners", "n_repositories"), "hash")
     place = F.struct(
         F.col("s.value_start").alias("start"), F.lit(KINDS.index("live")).alias("kind"), F.col("s.end").alias("end"), F.col("s.value_start").alias("value_start"), F.lit("").alias("value")
     )
-    added = judged.groupBy("row").agg(F.collect_set(F.when(F.col("live"), place)).alias("added"), F.sum(F.when(F.col("live"), 0).otherwise(1)).alias("n_example"))
+    aggs = [F.collect_set(F.when(F.col("live"), place)).alias("added"), F.sum(F.when(F.col("live"), 0).otherwise(1)).alias("n_example")]
+    if repositories is not None:
+        aggs.append(F.array_sort(F.collect_list(F.struct("s.start", "s.kind", "n_owners", "n_repositories"))).alias("counts"))
+    added = judged.groupBy("row").agg(*aggs)
     out = base.join(added, "row", "left")
     more = F.coalesce("added", F.array().cast(base.schema["spans"].dataType))
 
@@ -94,4 +99,5 @@ def scan(docs: DataFrame, id_col="doc_id", text_col="text", owner: Column | None
         _joined(F.array_sort(F.concat(F.col("spans"), more))).alias("spans"),
         F.size(more).cast("long").alias("n_live"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        *(F.coalesce(f"counts.{n}", F.array().cast("array<long>")).alias(n) for n in ("n_owners", "n_repositories") if repositories is not None),
     )

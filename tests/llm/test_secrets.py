@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from paceway.llm import secrets
+from paceway.llm import queries, secrets
 
 BASE = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -66,3 +66,15 @@ def test_repeated_rows_nulls_and_empty(spark):
     got = sorted((r["n_assign"], r["n_live"], r["n_example"]) for r in secrets.scan(docs, owner=F.col("source")).collect())
     assert got == [(0, 0, 0), (1, 0, 1), (1, 0, 1), (1, 0, 1)]
     assert secrets.scan(docs.where("false")).count() == 0
+
+
+def test_copied_widely_inside_one_owner(spark, tmp_path):
+    """The registered query: a value that one owner has in many documents and languages is an example; one in few documents of it is live."""
+    wide, few, other = "token=EXAMPLEofatoken", "token=abcdefghijkl", "AKIA" + "B" * 14
+    rows = [(i, f"here {wide}", "a", ("en", "fr")[i % 2]) for i in range(40)]
+    rows += [(100 + i, f"{few} then {wide}", "a", "en") for i in range(3)] + [(200, other, "a", "en"), (201, other, "b", "en"), (300, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_live"], r["n_example"], r["n_owners"], r["n_repositories"]) for r in queries.op7_secrets(spark, str(tmp_path)).collect()}
+    assert got == {
+        **{i: (0, 1, [1], [43]) for i in range(40)}, **{100 + i: (1, 1, [1, 1], [3, 43]) for i in range(3)}, 200: (0, 1, [2], [2]), 201: (0, 1, [2], [2]), 300: (0, 0, [], [])
+    }
