@@ -10,8 +10,9 @@ The posterior of a language is proportional to the product of
 The counts are grouped aggregations of text posteriors over all rows, folded before the shuffle; a host of very many rows meets its shares in a join that can be
 split. The class ``und`` stands for text that no language explains better than chance.
 
-The languages are all labels that stand with at least one text with letters, counted over all rows. The trigram model is fitted on a bounded, documented sample of the labelled rows of each language
-(``sample`` rows of a language at most in the mean, chosen by a hash of the text, whole texts), so a language that is rare keeps its rows at every size. The size of the model is fixed: ``CELLS`` per language.
+The languages are all labels that stand with at least one text with letters, counted over all rows. The trigram model is fitted on a bounded, documented sample of the different labelled texts of each language
+(``sample`` texts of a language at most in the mean, chosen by a hash of the text, whole texts), so a language that is rare keeps its texts at every size and a text counts once for its language however many
+copies it has. The size of the model is fixed: ``CELLS`` per language.
 
 Edge cases: null text, empty text and text without letters are ``und`` with confidence 1 and are rejected; an unknown or missing declaration, host or suffix says nothing;
 repeated rows are judged one by one (each counts for the host); ties go to the language that comes first by name; an empty training table makes all rows ``und``; an empty table gives
@@ -93,15 +94,17 @@ def _parts(texts, size=1_000_000):
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = 4000):
     """``(languages, table)``: names in order, and log probabilities of the cells, one row per language and one for ``und``.
 
-    ``sample`` is the number of rows of each language to learn from, in the mean.
+    ``sample`` is the number of different texts of each language to learn from, in the mean.
     """
     import numpy as np
 
     grams, parts = _grams(), _parts
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null").where(F.col("text").rlike(LETTER))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row for each language
+    different = known.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}  # one row for each language
     below = [F.lit(x) for lang, n in sizes.items() for x in (lang, math.ceil(min(1.0, sample / n) * 2**32))]
     chosen = known.where(F.shiftrightunsigned(F.xxhash64("text"), 32) < F.create_map(*below)[F.col("lang")]) if sizes else known
+    chosen = chosen.distinct()  # copies are folded before the shuffle
 
     def count(batches):
         import pyarrow as pa

@@ -127,6 +127,16 @@ def test_rare_language_has_a_model(spark):
     assert [(r["lang"], r["declared"], r["rejected"]) for r in got] == [("fr", "fr", False)] * 3
 
 
+@pytest.mark.parametrize("sample", [20, 4000])
+def test_copies_do_not_tilt_the_model(spark, sample):
+    """Copies of a text, in the table by the thousand, leave the model as it is without them."""
+    rng = random.Random(8)
+    rows = [(sentence(rng, lang, 12), lang) for lang in ["en", "fr"] * 60]
+    once = langid.train(spark.createDataFrame(rows, "text string, lang string"), sample=sample)
+    many = langid.train(spark.createDataFrame(rows + rows[:3] * 1500, "text string, lang string"), sample=sample)
+    assert once[0] == many[0] and np.array_equal(once[1], many[1])
+
+
 def test_page_evidence(spark):
     html = '<!doctype html><HTML class="a" lang="fr-CA"><script>var x="<p>";</script><style>p{}</style><p>Bonjour &amp; <b>salut</b><!-- non --></p>'
     r = spark.createDataFrame([(html, "https://me@WWW.Example.fr:80/x")], "h string, u string").select(
