@@ -715,6 +715,6 @@ def job_adjusted_friction(spark, d):
     return _costs(
         jobs.adjusted_travel_cost(
             osm.read_osm(spark, fx.elements_orc(spark, d)), fx.dem(spark, d), fx.cover(spark, d),
-            fx.flowlines(spark, d), fx.sources(spark, d), fx.GRID, fx.MASK, max_cost=fx.JOB_CAP,
+            fx.flowlines(spark, d), fx.sources(spark, d), fx.GRID, fx.MASK, layout=fx.GRID, max_cost=fx.JOB_CAP,
         )
     )

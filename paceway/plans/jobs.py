@@ -207,14 +207,18 @@ def travel_cost(
 
 def adjusted_travel_cost(
     elements: DataFrame, elevation: DataFrame, cover: DataFrame, flowlines: DataFrame,
-    points: DataFrame, meta: LayerMeta, extent, *, max_cost: float = 100000.0,
+    points: DataFrame, meta: LayerMeta, extent, *, layout: LayerMeta | None = None,
+    cover_meta: LayerMeta | None = None, max_cost: float = 100000.0,
     cell_type: str = "float64", tile_size: int = 256, partitions: int | None = None,
 ) -> Surface:
     """Travel cost in mph with land cover, streams and paths in the walking speed.
 
-    ``flowlines(way_id, refs, ftype, stream_order)``; elevation and cover share the grid ``meta``
-    and are cut to ``extent``; path speeds are whole numbers, as their layer is int8.
+    ``flowlines(way_id, refs, ftype, stream_order)``; elevation lies on the grid ``meta``, cover on
+    ``cover_meta`` (``meta`` unless given). Both are brought to ``layout``, the grid that roads, paths
+    and streams are burnt on (zoom 10), and cut to ``extent`` there; path speeds are whole numbers, as
+    their layer is int8.
     """
+    layout = layout or layout_for_zoom(10)
     nodes, kept = osm.nodes_of(elements), []
     roads, paths = features.split_roads_paths(osm.highways(osm.ways_of(elements)))
     wanted = features.notebook_value(roads, "mph").withColumn("walked", F.lit(False)).unionByName(
@@ -222,7 +226,7 @@ def adjusted_travel_cost(
     )
     # roads and paths are assembled and burnt together: one join with the nodes, one grouping
     edges = features.assemble_lines(wanted, nodes, ("value", "walked"), partitions)
-    burnt = raster.rasterize_lines(edges, meta, ("value", "walked")).groupBy("gx", "gy").agg(
+    burnt = raster.rasterize_lines(edges, layout, ("value", "walked")).groupBy("gx", "gy").agg(
         F.max(F.when(~F.col("walked"), F.col("value"))).alias("road"),
         F.max(F.when(F.col("walked"), F.col("value"))).alias("path"),
     )
@@ -234,10 +238,11 @@ def adjusted_travel_cost(
 
     flows = features.order_weight(features.valid_order(features.filter_ftype(flowlines)))
     flow_edges = features.link_references(features.references(flows, ("value",)), nodes, ("value",), partitions)
-    flow_cells = raster.rasterize_features(flow_edges, meta, "float64", lines_only=True)
-    cover_cells = local.reclassify(local.mask_extent(cover, meta, extent))
-    ground = raster.convert(local.mask_extent(elevation, meta, extent), "float32", 0.0)
-    walk = local.tobler(focal.slope(ground, meta))
+    flow_cells = raster.rasterize_features(flow_edges, layout, "float64", lines_only=True)
+    cover = local.mask_extent(warp.regrid(cover, cover_meta or meta, layout), layout, extent)
+    cover_cells = local.reclassify(cover)
+    ground = local.mask_extent(warp.regrid(elevation, meta, layout), layout, extent)
+    walk = local.tobler(focal.slope(raster.convert(ground, "float32", 0.0), layout))
     adjusted = local.adjusted_speed(walk, flow_cells, cover_cells, layer("path", "int8"))
     friction = local.local_max(adjusted, layer("road", cell_type), fill=0.0)
-    return _cost_of(friction, points, meta, 3.74, max_cost, 0.0, tile_size, kept)
+    return _cost_of(friction, points, layout, 3.74, max_cost, 0.0, tile_size, kept)
