@@ -7,7 +7,11 @@ state; a transition on a byte carries how many tokens the count changes by. Stat
 
 **Chunks.** A text is cut into chunks of ``chunk`` characters. At a single space after a sign that is not white space, every state leads to the same one, so the map of a chunk from entry state to exit state and
 count is settled but for the stretch before its first such place: it is ``(head, count, tail)``. Maps compose associatively, tail with head through the transducer. A task makes the maps of its chunks; the
-chunks of a text then meet by row and are composed in order by a prefix scan. Chunks are the unit of work, and only maps are shuffled, so a very long text costs no more at once than its chunk.
+chunks of a text then meet by row in one task, which composes them one after the other. That is the whole composition: there is no parallel scan over the chunks of one text.
+
+**What has no map.** A chunk without a single space after such a sign (Chinese or Japanese text, base64, lines that hold no space) is not settled anywhere and has no map. Its raw text is returned, shuffled and, with
+what neighbouring chunks leave open, tokenised in order by the one task that composes its text, so the longest stretch without a settled place is sequential work and is held in memory whole. Counts are right all the
+same. Nor are the tables bounded inside a word: ``cached`` is tested before a word begins, so a single word of very many letters can add transitions beyond it.
 
 Edge cases: a null or empty text has no bytes and no tokens; special strings in a text are one token each, as the library has it by default; repeated rows are counted one by one; an empty table gives
 no rows; other columns are not read.
