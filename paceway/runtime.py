@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``keep(df, name)`` for one run: like :func:`written`, but into a folder that goes when the run ends, however it ends. What outlives the run is to be written elsewhere."""
+    root = fresh_dir(spark, name)
+
+    def keep(df: DataFrame, part: str) -> DataFrame:
+        path = f"{root}/{part}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        remove_dir(spark, root)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint, which outlives executors."""
     context = df.sparkSession.sparkContext
