@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, langid, near, packing, secrets, tokens, toxicity, urls, warc
+from paceway.llm import decontaminate, exact, langid, near, packing, secrets, spelling, tokens, toxicity, urls, warc
 
 QUERIES = {}
 SQL = {}
@@ -191,3 +191,8 @@ r as (
 select c.page_id, host, fetched, coalesce(n, 0) as n_active, list as rule_list, kind as rule_kind, key as rule_key, day as valid_from, coalesce(list = 'blocked', false) as blocked
 from c left join r on r.page_id = c.page_id and nth = 1
 """
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), typo_every=97)
