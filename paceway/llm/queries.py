@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paceway.llm import decontaminate, exact, langid, near, packing, secrets, spelling, tokens, toxicity, urls, warc
+from paceway.llm import decontaminate, exact, langid, near, neighbours, packing, secrets, spelling, tokens, toxicity, urls, warc, whitening
 
 QUERIES = {}
 SQL = {}
@@ -196,3 +196,13 @@ from c left join r on r.page_id = c.page_id and nth = 1
 @query
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), typo_every=97)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0).withColumnRenamed("id", "vec_id")
