@@ -52,7 +52,7 @@ SUFFIX_LANGUAGE = {
 
 
 def _grams():
-    """The trigram function, made here so that it travels to the workers by value."""
+    """The functions that find trigrams and part lists of texts, made here so that they travel to the workers by value."""
     import numpy as np
 
     byte = np.arange(256)
@@ -76,19 +76,18 @@ def _grams():
         ends = np.minimum(ends, len(good))
         return cells[good], np.diff(total[ends], prepend=0)
 
-    return grams
+    def parts(texts, size=1_000_000):
+        """Ranges of the list with about ``size`` characters each."""
+        at, n = 0, 0
+        for i, t in enumerate(texts):
+            n += len(t)
+            if n >= size:
+                yield at, i + 1
+                at, n = i + 1, 0
+        if at < len(texts):
+            yield at, len(texts)
 
-
-def _parts(texts, size=1_000_000):
-    """Ranges of the list with about ``size`` characters each."""
-    at, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= size:
-            yield at, i + 1
-            at, n = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+    return grams, parts
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = 4000):
@@ -98,7 +97,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     """
     import numpy as np
 
-    grams, parts = _grams(), _parts
+    (grams, parts), n_cells = _grams(), CELLS
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null").where(F.col("text").rlike(LETTER))
     different = known.select("lang", F.xxhash64("text").alias("h")).distinct()
     sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}  # one row for each language
@@ -115,23 +114,29 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
             for a, b in parts(texts):
                 cells, n = grams(texts[a:b])
                 for lang, piece in zip(langs[a:b], np.split(cells, np.cumsum(n)[:-1]), strict=True):
-                    sums[lang] = sums.get(lang, 0) + np.bincount(piece, minlength=CELLS)
+                    sums[lang] = sums.get(lang, 0) + np.bincount(piece, minlength=n_cells)
         for lang, hits in sums.items():
             cells = np.flatnonzero(hits)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(cells), pa.string()), pa.array(cells), pa.array(hits[cells])], names=["lang", "cell", "n"])
 
+    def dense(cells):
+        import pyarrow as pa
+
+        counts = np.zeros(n_cells)
+        counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+        return pa.table({"lang": cells.column("lang")[:1], "counts": pa.array([counts.tobytes()], pa.binary())})
+
     sums = chosen.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    counts = {}
-    for r in sums.collect():  # at most CELLS rows for each language
-        counts.setdefault(r["lang"], np.zeros(CELLS))[r["cell"]] = r["n"]
+    packed = sums.groupBy("lang").applyInArrow(dense, "lang string, counts binary")  # CELLS rows a language become one
+    counts = {r["lang"]: np.frombuffer(r["counts"]) for r in packed.collect()}
     languages = sorted(counts)
     rows = [np.log((counts[name] + UNSEEN) / (counts[name].sum() + UNSEEN * CELLS)) for name in languages]
     return languages, np.array([*rows, np.full(CELLS, -math.log(CELLS))], np.float32)
 
 
-def likelihoods(rows: DataFrame, model) -> DataFrame:
-    """``rows`` with column ``text`` replaced by ``n`` (trigrams) and ``logs`` (log likelihood by language, ``und`` last)."""
-    grams, parts, table = _grams(), _parts, model[1]
+def likelihoods(rows: DataFrame, model, weight: float, prior) -> DataFrame:
+    """``rows`` with column ``text`` replaced by ``n`` (trigrams), ``logs`` (log likelihood times ``weight`` by language, ``und`` last) and ``p`` (their posterior under ``prior``, given as logs)."""
+    (grams, parts), table = _grams(), model[1]
     at = rows.columns.index("text")
 
     def run(batches):
@@ -139,36 +144,78 @@ def likelihoods(rows: DataFrame, model) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts, n_all, logs_all = batch.column(at).to_pylist(), [], []
+            texts, n_all, logs_all = batch.column(at).to_pylist(), [np.zeros(0, np.int64)], [np.zeros((0, len(table)))]
             for a, b in parts(texts):
                 cells, n = grams(texts[a:b])
                 ends = np.cumsum(n)
                 logs = np.zeros((b - a, len(table)))
                 for k, row in enumerate(table):
                     total = np.concatenate([[0.0], np.cumsum(row[cells], dtype=np.float64)])
-                    logs[:, k] = total[ends] - total[ends - n]
+                    logs[:, k] = weight * (total[ends] - total[ends - n])
                 n_all.append(n)
                 logs_all.append(logs)
-            n = np.concatenate(n_all) if n_all else np.zeros(0, np.int64)
-            flat = np.concatenate(logs_all).reshape(-1) if logs_all else np.zeros(0)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * len(table), pa.int32()), pa.array(flat))
+            n, logs = np.concatenate(n_all), np.concatenate(logs_all)
+            p = np.exp(logs + prior - (logs + prior).max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            places = pa.array(np.arange(len(n) + 1) * len(table), pa.int32())
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), lists], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), *(pa.ListArray.from_arrays(places, pa.array(x.reshape(-1))) for x in (logs, p))], names=names)
 
     fields = [f for f in rows.schema.fields if f.name != "text"]
-    fields += [T.StructField("n", T.LongType()), T.StructField("logs", T.ArrayType(T.DoubleType()))]
+    fields += [T.StructField("n", T.LongType()), T.StructField("logs", T.ArrayType(T.DoubleType())), T.StructField("p", T.ArrayType(T.DoubleType()))]
     names = [f.name for f in fields]
     return rows.mapInArrow(run, T.StructType(fields))
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    weights = [F.exp(x - top) for x in logs]
-    return [w / sum(weights[1:], weights[0]) for w in weights]
+def _summed(rows: DataFrame, key: str, column: str, k: int, to: str) -> DataFrame:
+    """Sums by ``key`` of the ``k`` entries of an array, as an array."""
+    sums = rows.groupBy(key).agg(*(F.sum(F.col(column)[i]).alias(f"s{i}") for i in range(k)))
+    return sums.select(key, F.array(*(f"s{i}" for i in range(k))).alias(to))
 
 
-def _plus(cols: list[Column]) -> Column:
-    return sum(cols[1:], cols[0])
+def _fuser(names: list[str], total, said, by_suffix: dict, smoothing: float):
+    """Batch function: rows of :func:`likelihoods` with the sums of their host ``h``, domain ``d`` and ``suffix`` to the language found, its confidence and that of the text alone."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        k = len(names)
+        of = {name: i for i, name in enumerate(names)}
+        labels = pa.array(names)
+
+        def array(column):
+            """A list column as a matrix; no list counts as zeros."""
+            out = np.zeros((len(column), k))
+            have = column.is_valid().to_numpy(zero_copy_only=False)
+            out[have] = column.flatten().to_numpy().reshape(-1, k)
+            return out, have
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                col = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
+                n, (logs, _), (p, _) = col("n").to_numpy(), array(col("logs")), array(col("p"))
+                own = np.where(n[:, None] > 0, p, 0.0)
+                share = (np.maximum(total - own, 0) + 1) / (total.sum() - own.sum(1, keepdims=True) + k)
+                for level in "sdh":
+                    sums, have = array(col(level))
+                    others = np.where(have[:, None], np.maximum(sums - own, 0), 0.0)
+                    share = (others + smoothing * share) / (others.sum(1, keepdims=True) + smoothing)
+                spoken = said[[of.get(x, -1) for x in col("declared").to_pylist()]]
+                placed = np.array([by_suffix.get(x, zeros) for x in col("suffix").to_pylist()]).reshape(-1, k)
+                score = logs + np.log(share) + spoken + placed
+                score = np.exp(score - score.max(1, keepdims=True))
+                score /= score.sum(1, keepdims=True)
+                found, alone = (np.where(n > 0, x.argmax(1), k - 1) for x in (score, p))
+                sure = np.where(n > 0, score.max(1), 1.0)
+                yield pa.RecordBatch.from_arrays(
+                    [col("id"), col("sign"), labels.take(pa.array(found)), pa.array(sure), labels.take(pa.array(alone)), col("declared"), col("host")],
+                    names=["id", "sign", "lang", "confidence", "text_lang", "declared", "host"],
+                )
+
+    zeros = [0.0] * len(names)
+    return run
 
 
 def identify(
@@ -187,78 +234,43 @@ def identify(
     """One row per input row: ``id, sign`` (digest of the text), ``lang, confidence, text_lang, declared, host, rejected``.
 
     ``unknown`` is the prior of ``und``, ``smoothing`` the weight of a wider level in rows, ``trust`` the chance that a declaration or suffix is honest before anything is
-    counted, and ``least`` the confidence below which a row is rejected.
+    counted, and ``least`` the confidence below which a row is rejected. Shares and logs are arrays with an entry for each language, so plans grow with the number of languages, not with its powers.
     """
-    names = [*model[0], UNKNOWN]
-    k = range(len(names))
+    import numpy as np
+
+    languages, names = model[0], [*model[0], UNKNOWN]
+    k, many = len(names), len(model[0])
     none = F.lit(None).cast("string")
     text = F.coalesce(text, F.lit(""))
     lang = F.lower(F.substring_index(F.trim(declared), "-", 1)) if declared is not None else none
     host = F.nullif(F.lower(host), F.lit("")) if host is not None else none
-    evidence = rows.select(
-        F.col(id_col).alias("id"), F.md5(text).alias("sign"), F.when(lang.isin(*model[0]), lang).alias("declared") if model[0] else none.alias("declared"), host.alias("host"), text.alias("text")
-    )
-    scored = likelihoods(evidence, model)
-    prior = [math.log((1 - unknown) / max(1, len(names) - 1))] * (len(names) - 1) + [math.log(unknown)]
-    logs = [F.lit(weight) * F.col("logs")[i] for i in k]
-    scored = scored.select("id", "sign", "declared", "host", "n", *(x.alias(f"l{i}") for i, x in enumerate(logs)))
-    shares = _softmax([F.col(f"l{i}") + prior[i] for i in k])
-    scored = written(scored.withColumns({f"p{i}": shares[i] for i in k}), "evidence")
+    evidence = rows.select(F.col(id_col).alias("id"), F.md5(text).alias("sign"), F.when(lang.isin(*languages), lang).alias("declared") if many else none.alias("declared"), host.alias("host"), text.alias("text"))
+    prior = np.array([math.log((1 - unknown) / max(1, many))] * many + [math.log(unknown)])
+    scored = written(likelihoods(evidence, model, weight, prior), "evidence")
     has = scored.where("n > 0")
 
-    # What declarations are worth: one small table of declarations against languages.
-    pairs = {r["declared"]: [r[f"s{i}"] for i in k] for r in has.where("declared is not null").groupBy("declared").agg(*(F.sum(f"p{i}").alias(f"s{i}") for i in k)).collect()}
-    said = {}
-    for i, name in enumerate(names):
-        mass = sum(pairs.get(d, [0.0] * len(names))[i] for d in model[0])
-        for d in model[0]:
-            first = 1 / len(model[0]) if name == UNKNOWN or len(model[0]) == 1 else trust if d == name else (1 - trust) / (len(model[0]) - 1)
-            said[d, i] = math.log((pairs.get(d, [0.0] * len(names))[i] + smoothing * first) / (mass + smoothing))
+    # What declarations are worth: log chance of each declaration by language, one row per declaration and a last one of zeros for none.
+    pairs = {r["declared"]: r["s"] for r in _summed(has.where("declared is not null"), "declared", "p", k, "s").collect()}  # one row for each language
+    counted = np.array([pairs.get(d, [0.0] * k) for d in languages]).reshape(many, k)
+    first = np.full((many, k), 1 / max(1, many))
+    if many > 1:
+        first[:, :many] = np.where(np.eye(many, dtype=bool), trust, (1 - trust) / (many - 1))
+    said = np.vstack([np.log((counted + smoothing * first) / (counted.sum(0) + smoothing)), np.zeros(k)])
+    by_suffix = {}
+    for suffix, name in SUFFIX_LANGUAGE.items():
+        if name in languages and many > 1:
+            by_suffix[suffix] = np.log(many * np.append(first[languages.index(name), :many], 1 / many)).tolist()
 
     # Shares of host, domain and suffix, from the smallest groups up.
-    sums = [F.sum(f"p{i}").alias(f"h{i}") for i in k]
-    hosts = has.where("host is not null").groupBy("host").agg(*sums)
+    hosts = _summed(has.where("host is not null"), "host", "p", k, "h")
     hosts = written(hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}), "hosts")
-    domains = hosts.groupBy("domain").agg(*(F.sum(f"h{i}").alias(f"d{i}") for i in k))
-    suffixes = hosts.groupBy("suffix").agg(*(F.sum(f"h{i}").alias(f"s{i}") for i in k))
-    all_rows = has.agg(*(F.sum(f"p{i}") for i in k)).first()
-    total = [x or 0.0 for x in all_rows]
+    domains, suffixes = _summed(hosts, "domain", "h", k, "d"), _summed(hosts, "suffix", "h", k, "s")
+    total = np.array([x or 0.0 for x in has.agg(*(F.sum(F.col("p")[i]) for i in range(k))).first()])
     met = scored.join(hosts.join(domains, "domain").join(suffixes, "suffix"), "host", "left")
 
-    own = [F.when(F.col("n") > 0, F.col(f"p{i}")).otherwise(0.0) for i in k]
-    share = [(F.greatest(F.lit(total[i]) - own[i], F.lit(0.0)) + 1.0) / (sum(total) - _plus(own) + len(names)) for i in k]
-    for level in "sdh":
-        others = [F.greatest(F.coalesce(F.col(f"{level}{i}") - own[i], F.lit(0.0)), F.lit(0.0)) for i in k]
-        met = met.withColumns({f"{level}_{i}": (others[i] + smoothing * share[i]) / (_plus(others) + smoothing) for i in k})
-        share = [F.col(f"{level}_{i}") for i in k]
-
-    def declared_log(i):
-        out = F.lit(0.0)
-        for d in model[0]:
-            out = F.when(F.col("declared") == d, F.lit(said[d, i])).otherwise(out)
-        return out
-
-    def suffix_log(i):
-        out = F.lit(0.0)
-        for s, name in SUFFIX_LANGUAGE.items():
-            if name in model[0] and len(model[0]) > 1:
-                chance = 1 / len(model[0]) if names[i] == UNKNOWN else trust if names[i] == name else (1 - trust) / (len(model[0]) - 1)
-                out = F.when(F.col("suffix") == s, F.lit(math.log(chance * len(model[0])))).otherwise(out)
-        return out
-
-    fused = met.withColumns({f"q{i}": x for i, x in enumerate(_softmax([F.col(f"l{i}") + F.log(share[i]) + declared_log(i) + suffix_log(i) for i in k]))})
-
-    def best(prefix):
-        top = F.greatest(*(F.col(f"{prefix}{i}") for i in k)) if len(names) > 1 else F.col(f"{prefix}0")
-        out = F.lit(UNKNOWN)
-        for i in reversed(k):
-            out = F.when(F.col(f"{prefix}{i}") == top, F.lit(names[i])).otherwise(out)
-        return F.when(F.col("n") == 0, F.lit(UNKNOWN)).otherwise(out), F.when(F.col("n") == 0, F.lit(1.0)).otherwise(top)
-
-    found, sure = best("q")
-    out = fused.select("id", "sign", found.alias("lang"), sure.alias("confidence"), best("p")[0].alias("text_lang"), "declared", "host")
-    # Written, so that a filter on the result is not worked into the nested expressions above.
-    out = written(out, "languages")
+    schema = T.StructType([T.StructField("id", rows.schema[id_col].dataType), *(T.StructField(c, T.DoubleType() if c == "confidence" else T.StringType()) for c in ("sign", "lang", "confidence", "text_lang", "declared", "host"))])
+    columns = met.select("id", "sign", "declared", "host", "suffix", "n", "logs", "p", "h", "d", "s")
+    out = columns.mapInArrow(_fuser(names, total, said, by_suffix, smoothing), schema)
     return out.withColumn("rejected", (F.col("lang") == UNKNOWN) | (F.col("confidence") < least))
 
 

@@ -100,13 +100,14 @@ def pack(
     capacity: int = 2048,
     linear: float = 1.0,
     quadratic: float = 1 / 8192,
-    block_tokens: int = 4_000_000,
-    cached: int = 400_000,
+    block_tokens: int = 1_000_000,
+    cached: int = 200_000,
+    group_bytes: int = 2_000_000,
 ) -> DataFrame:
     """One row per piece: ``id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``tokenizer`` is a file of the tokenizers library whose pre-tokenizer drops white space, so that what stands between spaces can be encoded apart;
-    each task keeps the ids of up to ``cached`` such words. ``quadratic`` is the weight of attention against the rest for one token pair.
+    each task keeps the ids of up to ``cached`` such words, and encodes texts in groups of ``group_bytes``. ``quadratic`` is the weight of attention against the rest for one token pair.
     """
     place = _placer()
 
@@ -114,7 +115,7 @@ def pack(
         import json
         import os
         import zlib
-        from itertools import chain
+        from array import array
 
         import numpy as np
         import pyarrow as pa
@@ -130,7 +131,7 @@ def pack(
         suffix = json.loads(coder.to_str())["model"]["end_of_word_suffix"] or ""
         is_end = np.zeros(coder.get_vocab_size(), bool)
         is_end[[i for t, i in coder.get_vocab().items() if suffix and t.endswith(suffix)]] = True
-        known, number = {}, TaskContext.get().partitionId() << 32
+        known, number = {}, TaskContext.get().partitionId() << 32  # ids of words, as bytes
 
         def encode(words):
             """Ids of words; what is all letters is one word to the tokenizer too, so such words share a call, or go to the merges as they are."""
@@ -139,7 +140,7 @@ def pack(
                 if not w.isalpha():
                     rest.append(w)
                 elif w.isascii() and w.islower():
-                    known[w] = [t.id for t in model.tokenize(w)]
+                    known[w] = array("I", [t.id for t in model.tokenize(w)]).tobytes()
                 else:
                     shared.append(w)
             for i in range(0, len(shared), 1024):
@@ -147,17 +148,17 @@ def pack(
                 ids = coder.encode(" ".join(part), add_special_tokens=False).ids
                 ends = (np.flatnonzero(is_end[ids]) + 1).tolist()
                 if len(ends) == len(part):
-                    known.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends, strict=True))
+                    known.update((w, array("I", ids[a:b]).tobytes()) for w, a, b in zip(part, [0, *ends[:-1]], ends, strict=True))
                 else:
                     rest += part
             for i in range(0, len(rest), 4096):
                 part = rest[i : i + 4096]
-                known.update((w, e.ids) for w, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True))
+                known.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True))
 
         def ids_of(texts):
             """Ids of each text: different words are encoded once and spread to where they stand."""
-            # A word ends where a sign follows a letter. Signs of contractions and special strings are left alone.
-            spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), r"(\pL)([!-&(-/:;=?@\[-`{}~])", r"\1 \2")
+            # A word ends where a sign follows a letter. Signs of contractions and special strings are left alone, and so is U+0130: in lower case it ends in a mark that belongs to the signs.
+            spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), r"([^\PL\x{130}])([!-&(-/:;=?@\[-`{}~])", r"\1 \2")
             split = pc.split_pattern(spaced, " ")
             coded = split.flatten().dictionary_encode()
             words = [w.lower() if w.isascii() and "|" not in w else w for w in coded.dictionary.to_pylist()]
@@ -170,8 +171,8 @@ def pack(
             for word in need:
                 if len(word) > 64:
                     del known[word]
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-            flat, begin = np.fromiter(chain.from_iterable(parts), "<u4", int(lengths.sum())), np.cumsum(lengths) - lengths
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            flat, begin = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths) - lengths
             places = coded.indices.to_numpy()
             n = lengths[places]
             total = np.concatenate([[0], np.cumsum(n)])
@@ -180,13 +181,13 @@ def pack(
             return [ids[x:y] + end for x, y in zip(at[:-1], at[1:], strict=True)]
 
         def grouped():
-            """Texts in groups of some million bytes."""
+            """Texts in groups of some bytes."""
             for batch in batches:
                 sizes = pc.binary_length(batch.column(1)).to_numpy()
                 at, n = 0, 0
                 for i, size in enumerate(sizes.tolist()):
                     n += size
-                    if n >= 16_000_000 or i + 1 == len(sizes):
+                    if n >= group_bytes or i + 1 == len(sizes):
                         yield batch.column(0).slice(at, i + 1 - at), batch.column(1).slice(at, i + 1 - at)
                         at, n = i + 1, 0
 

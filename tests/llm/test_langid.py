@@ -1,9 +1,13 @@
 import math
 import random
+import subprocess
+import sys
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from paceway.llm import langid
@@ -137,6 +141,35 @@ def test_copies_do_not_tilt_the_model(spark, sample):
     assert once[0] == many[0] and np.array_equal(once[1], many[1])
 
 
+def test_many_languages(spark):
+    """Two hundred languages, each with words of its own: the plan grows in proportion and every language is found."""
+    rng = random.Random(12)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(6)] for i in range(200)}
+    rows = [(i, " ".join(rng.choices(words[lang], k=12)), lang, f"h{i % 7}.x{i % 3}.de") for i, lang in enumerate(list(words) * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.train(docs)
+    assert model[0] == sorted(words)
+    began = time.monotonic()
+    got = langid.identify(docs, model, "doc_id", F.col("text"), F.col("lang"), F.col("source")).collect()
+    assert time.monotonic() - began < 60
+    assert all(r["lang"] == rows[r["id"]][2] and not r["rejected"] for r in got) and len(got) == len(rows)
+
+
+def test_long_text(spark, model):
+    rows = [(1, "le la les avec été " * 150_000, None, None), (2, "the of and", "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["id"]: r["lang"] for r in langid.identify(docs, model, "doc_id", F.col("text"), F.col("lang"), F.col("source")).collect()}
+    assert got == {1: "fr", 2: "en"}
+
+
+def test_helpers_reach_workers_without_the_package(tmp_path):
+    fuse = langid._fuser(["en", "und"], np.zeros(2), np.zeros((2, 2)), {}, 1.0)
+    for helper in (*langid._grams(), fuse):
+        (tmp_path / "f").write_bytes(cloudpickle.dumps(helper))
+        load = "import sys, pickle; pickle.load(open('f', 'rb')); assert 'paceway' not in sys.modules"
+        subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True, env={"PATH": ""})
+
+
 def test_page_evidence(spark):
     html = '<!doctype html><HTML class="a" lang="fr-CA"><script>var x="<p>";</script><style>p{}</style><p>Bonjour &amp; <b>salut</b><!-- non --></p>'
     r = spark.createDataFrame([(html, "https://me@WWW.Example.fr:80/x")], "h string, u string").select(
