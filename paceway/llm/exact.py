@@ -1,10 +1,13 @@
 """Exact duplicates through an extendible-hash index kept in shared files.
 
-The index holds one entry per different text. Its key is the leading ``key_bits`` bits of a 64-bit hash of the normalised text, so a bucket
-is a range of keys. A directory of ``2**depth`` cells points to buckets: while a cell holds more than ``capacity`` keys the directory doubles,
-and a bucket is the widest range of cells within ``capacity``. Owner tasks take ranges of buckets. Texts that share a key form a chain; they
-are told apart by their bytes, in a grouping on key and text that folds copies before the shuffle, so a group of any size meets in
-one row per task. The driver sees row counts only.
+The key of a text is the leading ``bits`` bits of a 64-bit hash of the normalised text, so a bucket is a range of keys. A directory of ``2**depth`` cells points to buckets: while a cell holds more than
+``capacity`` keys the directory doubles, and a bucket is the widest range of cells within ``capacity``.
+
+* Texts are compared by their bytes in a grouping on key and text, which folds copies before the shuffle, so a group of any size meets in one row per task. What is left is one entry per different text.
+* The directory sends each entry to the owner of its bucket. Owners check that the bucket is within its range and capacity, chain the texts whose keys collide, and write the bucket to the index.
+* The directory sends each posting (a row of the input, without its text) to its bucket, and the chain there gives the row that stays.
+
+A posting whose cell the directory lacks, a bucket that holds too many keys or keys of others, and different texts of one key and digest are errors, not wrong results. The driver sees row counts only.
 
 Edge cases: null text is empty text; empty texts equal each other; repeated rows belong to the same group and exactly one row stays per
 group, the one with the largest id (null ids rank lowest; among rows of one id any single one); an empty table gives an empty result. The input's other columns are not read
@@ -22,8 +25,8 @@ from pyspark.sql.window import Window
 from paceway.llm.text import ascii_lower
 from paceway.runtime import fresh_dir, written
 
-#: Keys in a bucket; an entry takes about 100 bytes, so an owner task holds some 100 MB.
-CAPACITY = 1 << 20
+#: Keys in a bucket; an entry takes about 100 bytes, so an owner holds some 3 MB.
+CAPACITY = 1 << 15
 KEY_BITS = 63
 
 
@@ -58,26 +61,45 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, bits: int = KEY_BITS) -
     return cells.select("cell", first.alias("bucket"), "local_depth"), depth
 
 
+def _routed(rows: DataFrame, cells: DataFrame, depth: int, bits: int) -> DataFrame:
+    """``rows`` with the ``bucket`` that the directory names for their ``key``, and its ``local_depth``."""
+    met = rows.withColumn("cell", F.shiftright("key", bits - depth)).join(cells, "cell", "left")
+    known = F.when(F.col("bucket").isNull(), F.raise_error(F.lit("a key's cell is not in the directory")).cast("long")).otherwise(F.col("bucket"))
+    return met.withColumn("bucket", known).drop("cell")
+
+
+def _owned(entries: DataFrame, capacity: int, bits: int) -> DataFrame:
+    """The buckets as their owners write them: entries by bucket and key, with their place in the chain of the key."""
+    owned = entries.repartition("bucket")
+    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("sha"))
+    owned = owned.withColumn("chain", chain).withColumn("keys", F.sum(F.when(F.col("chain") == 1, 1).otherwise(0)).over(Window.partitionBy("bucket")))
+    stray = F.expr(f"key < bucket or shiftright(key - bucket, {bits} - local_depth) > 0")
+    full = (F.col("keys") > capacity) & (F.col("local_depth") < bits)
+    wrong = F.when(stray, F.raise_error(F.lit("a bucket holds a key of another")).cast("int")).when(full, F.raise_error(F.lit("a bucket is overfull")).cast("int"))
+    return owned.withColumn("chain", F.coalesce(wrong, "chain")).select("bucket", "key", "chain", "sha", "top", "size").sortWithinPartitions("bucket", "key", "chain")
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, bits: int = KEY_BITS) -> DataFrame:
     """One row per input row: ``id, keep_id, group_size, kept, text_sha256, bucket, chain`` (place in the chain of the key, from 1)."""
     spark = docs.sparkSession
     rows = _normal(docs, id_col, text_col, bits)
     postings = written(rows.select("id", "key", F.sha2(F.col("norm"), 256).alias("sha"), F.monotonically_increasing_id().alias("row")), "postings")
     cells, depth = directory(postings.select("key").distinct(), capacity, bits)
+    cells = written(cells, "directory")
 
     # Byte comparison: equal keys meet, and the grouping on the text itself parts what only collides.
     texts = rows.groupBy("key", "norm").agg(F.lit(1).alias("one")).select("key", F.sha2(F.col("norm"), 256).alias("sha"))
     links = texts.groupBy("key", "sha").agg(F.count("*").alias("texts"))
-    tops = postings.groupBy("key", "sha").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("size"))
-    entries = tops.join(links, ["key", "sha"]).withColumn("cell", F.shiftright("key", bits - depth)).join(cells, "cell")
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("sha"))
-    size = F.when(F.col("texts") == 1, F.col("size")).otherwise(F.raise_error(F.lit("different texts share key and digest")).cast("long"))
-    index = entries.select("bucket", "key", "sha", "top", size.alias("size"), chain.alias("chain"))
+    tops = postings.groupBy("key", "sha").agg(F.max(F.struct("id", "row")).alias("top"), F.count("*").alias("n"))
+    size = F.when(F.col("texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("different texts share key and digest")).cast("long"))
+    entries = _routed(tops.join(links, ["key", "sha"]).withColumn("size", size), cells, depth, bits)
+    index = _owned(entries, capacity, bits)
     path = fresh_dir(spark, "index")
-    index.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain").write.parquet(path)
+    index.write.parquet(path)
     index = spark.read.schema(index.schema).parquet(path)
 
-    return postings.join(index, ["key", "sha"]).select(
+    met = _routed(postings, cells, depth, bits).drop("local_depth").join(index, ["bucket", "key", "sha"])
+    return met.select(
         "id",
         F.col("top.id").alias("keep_id"),
         F.col("size").alias("group_size"),

@@ -1,6 +1,10 @@
 import hashlib
 import random
 
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from paceway.llm import exact
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -53,6 +57,27 @@ def test_directory_holds_capacity(spark):
     assert len(per) < len(where)  # some cells share a bucket
 
 
+@pytest.mark.parametrize("broken", ["one bucket", "lost cell", "wrong bucket"])
+def test_result_depends_on_the_directory(spark, monkeypatch, broken):
+    """Routing is through the directory: one that is not right never gives a result."""
+    docs = spark.createDataFrame([(i, f"text {i % 40}") for i in range(80)], "doc_id long, text string")
+    right = exact.directory
+
+    def wrong(keys, capacity, bits):
+        cells, depth = right(keys, capacity, bits)
+        assert cells.count() > 4
+        if broken == "one bucket":
+            return cells.withColumns({"bucket": F.lit(0).cast("long"), "local_depth": F.lit(0)}), depth
+        if broken == "lost cell":
+            return cells.where(F.col("cell") != cells.agg(F.min("cell")).first()[0]), depth
+        return cells.withColumn("bucket", F.lit(1).cast("long") + F.max("bucket").over(Window.partitionBy()) - F.col("bucket")), depth
+
+    assert exact.find(docs, capacity=4).where("kept").count() == 40
+    monkeypatch.setattr(exact, "directory", wrong)
+    with pytest.raises(Exception, match="overfull|not in the directory|key of another"):
+        exact.find(docs, capacity=4).collect()
+
+
 def test_repeated_rows_null_ids_and_empty(spark):
     rows = [(1, "a"), (1, "a"), (None, "A"), (None, None), (None, None), (5, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
