@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paceway.llm import decontaminate, exact, langid, near, packing
 from paceway.llm.queries import vocabulary
-from paceway.runtime import written
+from paceway.runtime import workspace, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
+    """All stages over ``documents``; what a stage returns is written to the shared folder and read again. All but the last stage's result goes when the run ends."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return docs
+    with workspace(spark, "pipeline") as keep:
+        for name, stage in STAGES[:-1]:
+            docs = keep(stage(spark, docs, sf_dir), name)
+        name, stage = STAGES[-1]
+        return written(stage(spark, docs, sf_dir), name)
