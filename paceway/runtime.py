@@ -50,6 +50,21 @@ def workspace(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame, s
         remove_dir(spark, root)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """While the block runs, rows travel to Python in batches of at most this size. A task holds a batch in the JVM and one or two in Python, and rows with texts fill the usual batch of 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage with a reliable checkpoint, which outlives executors."""
     context = df.sparkSession.sparkContext
