@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paceway.runtime import written
+from paceway.runtime import small_batches, written
 
 CELLS = 1 << 16
 UNKNOWN = "und"
@@ -128,7 +128,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
 
     sums = chosen.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     packed = sums.groupBy("lang").applyInArrow(dense, "lang string, counts binary")  # CELLS rows a language become one
-    counts = {r["lang"]: np.frombuffer(r["counts"]) for r in packed.collect()}
+    with small_batches(docs.sparkSession):
+        counts = {r["lang"]: np.frombuffer(r["counts"]) for r in packed.collect()}
     languages = sorted(counts)
     rows = [np.log((counts[name] + UNSEEN) / (counts[name].sum() + UNSEEN * CELLS)) for name in languages]
     return languages, np.array([*rows, np.full(CELLS, -math.log(CELLS))], np.float32)
@@ -246,7 +247,8 @@ def identify(
     host = F.nullif(F.lower(host), F.lit("")) if host is not None else none
     evidence = rows.select(F.col(id_col).alias("id"), F.md5(text).alias("sign"), F.when(lang.isin(*languages), lang).alias("declared") if many else none.alias("declared"), host.alias("host"), text.alias("text"))
     prior = np.array([math.log((1 - unknown) / max(1, many))] * many + [math.log(unknown)])
-    scored = written(likelihoods(evidence, model, weight, prior), "evidence")
+    with small_batches(rows.sparkSession):
+        scored = written(likelihoods(evidence, model, weight, prior), "evidence")
     has = scored.where("n > 0")
 
     # What declarations are worth: log chance of each declaration by language, one row per declaration and a last one of zeros for none.
