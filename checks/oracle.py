@@ -538,6 +538,8 @@ oracle("pyramid_bilinear", f"select zoom, gx, gy, round(value, 6) as value from
 oracle("histogram", _HIST.format(counted("fx_elev", 80)))
 oracle("histogram_256", _HIST.format(counted("fx_elev", 256)))
 oracle("quantile_breaks", f"select k, round(break_value, 6) as break_value from ({breaks('fx_elev', 10)}) b")
+oracle("rank_breaks", """select cast(k as int) as k, round(value, 6) as break_value
+ from (select value, row_number() over (order by value) as place, count(*) over () as n from fx_elev where value is not null) a, range(1, 11) t(k) where place = (k * n + 9) // 10""")
 CTE["l_breaks"] = breaks("fx_elev", 10)
 oracle("color_classes", f"""select gx, gy, round(value, 6) as value, c as class_index, {case('c', ((i, text(h)) for i, h in enumerate(MAGMA)))} as color
  from (select e.*, cast(least(9, (select count(*) from l_breaks b where b.break_value < e.value)) as int) as c from fx_elev e where value is not null) a""")

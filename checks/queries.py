@@ -607,6 +607,11 @@ def quantile_breaks(spark, d):
     return rounded(stats.quantile_breaks(elevation(spark, d), 10))
 
 
+@query
+def rank_breaks(spark, d):
+    return rounded(stats.rank_breaks(elevation(spark, d), 10))
+
+
 @query
 def color_classes(spark, d):
     return rounded(stats.color_classes(elevation(spark, d), "magma"))

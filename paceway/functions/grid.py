@@ -75,3 +75,38 @@ def z2(col="tile_col", row="tile_row") -> Column:
 def z_bucket(n: int, bits: int = 8, col="tile_col", row="tile_row") -> Column:
     """Partition number shared by all tiles of a block with 2^bits tiles."""
     return F.pmod(F.shiftright(z2(col, row), bits), F.lit(n)).cast("int")
+
+
+def z_intervals(c0: int, r0: int, c1: int, r1: int, most: int = 64) -> list[tuple[int, int]]:
+    """Intervals (first, last) of z-curve positions that hold all tiles of a rectangle of tiles, at most about ``most`` of them.
+
+    A walk down the quadtree: a square inside the rectangle is an interval, one at its rim is split as long as there is room, the largest first; what is then left at the
+    rim is covered whole, so intervals may hold tiles outside.
+    """
+    if c1 < c0 or r1 < r0:
+        return []
+    bits = max(c1, r1, 1).bit_length()
+    done, rim = [], [(0, 0, bits)]
+    while rim and len(done) + len(rim) < most:
+        col, row, size = rim.pop(0)
+        last_col, last_row = col + (1 << size) - 1, row + (1 << size) - 1
+        if last_col < c0 or last_row < r0 or col > c1 or row > r1:
+            continue
+        if c0 <= col and last_col <= c1 and r0 <= row and last_row <= r1:
+            done.append((col, row, size))
+        else:
+            half = 1 << (size - 1)
+            rim += [(col + x, row + y, size - 1) for y in (0, half) for x in (0, half)]
+    met = [s for s in rim if s[0] + (1 << s[2]) > c0 and s[1] + (1 << s[2]) > r0 and s[0] <= c1 and s[1] <= r1]
+    out = []
+    for first, last in sorted((z, z + (1 << 2 * size) - 1) for col, row, size in done + met for z in [z_number(col, row)]):
+        if out and out[-1][1] + 1 == first:
+            out[-1] = (out[-1][0], last)
+        else:
+            out.append((first, last))
+    return out
+
+
+def z_number(col: int, row: int) -> int:
+    """:func:`z2` of one tile."""
+    return sum((col >> i & 1) << 2 * i | (row >> i & 1) << 2 * i + 1 for i in range(32))

@@ -16,8 +16,10 @@ from paceway.operators.raster import tile_keys
 from paceway.runtime import fresh_dir, remove_dir, written
 
 _TILE = ["tile_col", "tile_row"]
-# tiles of a block along the z-curve, as a power of two: 256 tiles of 256 x 256 cells take 136 MB
-BLOCK_BITS = 8
+# cells along a side of the tiles that are solved at once, whatever the layer's own tiles: 2 MB of friction
+SOLVE_SIZE = 512
+# tiles of a block along the z-curve, as a power of two: 64 tiles of 512 x 512 cells take 136 MB
+BLOCK_BITS = 6
 COSTS = "tile_col int, tile_row int, gx int, gy int, cost double, round int, block long"
 
 
@@ -128,20 +130,21 @@ def friction_tiles(friction: DataFrame, meta: LayerMeta) -> DataFrame:
 
 
 def cost_distance(
-    friction: DataFrame, sources: DataFrame, meta: LayerMeta, max_cost: float
+    friction: DataFrame, sources: DataFrame, meta: LayerMeta, max_cost: float, solve_size: int = SOLVE_SIZE
 ) -> DataFrame:
     """(gx, gy, value): least cost from any source cell, eight neighbours, up to ``max_cost``.
 
     A step costs its length times the mean friction of both cells; sources cost 0; sources on NODATA
     are ignored. Cells farther than ``max_cost`` have no row.
 
-    The grid is cut in tiles. A round solves, for every tile that got a better cost at
+    The grid is cut in tiles of ``solve_size`` cells a side. They are this run's own: a layer of small tiles would need a round for each tile on a path. A round solves, for every tile that got a better cost at
     its border, the whole tile at once and passes costs on to the cells around it, so the number of
     rounds follows the tiles on a path, not its cells. Tiles lie in the shared folder by blocks of a fixed number of
     tiles; so do the costs of border cells, of which a round adds only those that are better than before. A round joins with the
     small table of blocks the wave is in or next to, so that only these folders are read and only costs of the touched tiles are
     shuffled. The driver only asks whether a round added anything. The folders are removed in the end.
     """
+    meta = meta.with_(tile_size=solve_size)
     spark, t, side = friction.sparkSession, meta.tile_size, meta.tile_size + 2
     tiles_at, costs_at = fresh_dir(spark, "friction"), fresh_dir(spark, "costs")
     made = friction_tiles(friction, meta)

@@ -94,6 +94,44 @@ def break_array(breaks: DataFrame) -> Column:
     return breaks.agg(F.array_sort(F.collect_list("break_value"))).scalar()
 
 
+def rank_breaks(cells: DataFrame, n: int = 10, bins: int = 256) -> DataFrame:
+    """Values (k, break_value) of rank ``ceil(k * count / n)`` among all cells, k = 1..n, exact for any distribution.
+
+    A round cuts each interval that holds wanted ranks into ``bins`` parts of equal width and counts them with map-side combine; the parts that hold the ranks, drawn in to the
+    least and largest value they have, are the next round's intervals, until each is one value. An outlier is cut off in the first
+    round, so the number of rounds follows the digits of a double, not the data; each reads only values inside its intervals, and the driver sees at most ``n * bins`` counts.
+    Null, NaN and infinite cells are no values; without values there are no rows.
+    """
+    spark = cells.sparkSession
+    known = cells.select(F.col("value").cast("double").alias("value")).where("value is not null and not isnan(value) and abs(value) < double('infinity')")
+    ends = known.agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    total, found = ends["n"], {}
+    # (least, largest, values before, wanted ranks by k)
+    active = [(ends["lo"], ends["hi"], 0, {k: -(-k * total // n) for k in range(1, n + 1)})] if total else []
+    while active:
+        found.update({k: lo for lo, hi, _, ranks in active if lo == hi for k in ranks})
+        active = [a for a in active if a[0] < a[1]]
+        if not active:
+            break
+        part, slot = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (lo, hi, _, _) in enumerate(active):
+            within = F.col("value").between(F.lit(lo), F.lit(hi))
+            half = 1.0 if hi - lo < float("inf") else 0.5  # the width of all doubles is no double
+            place = F.floor((F.col("value") * half - F.lit(lo * half)) / F.lit(hi * half - lo * half) * bins)
+            part, slot = F.when(within, F.lit(i)).otherwise(part), F.when(within, F.least(place, F.lit(bins - 1)).cast("int")).otherwise(slot)
+        reach = known.where(F.col("value").between(F.lit(active[0][0]), F.lit(active[-1][1]))).select("value", part.alias("part"), slot.alias("slot"))
+        counted = reach.where("part is not null").groupBy("part", "slot").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        following, before = [], {i: a[2] for i, a in enumerate(active)}
+        for r in sorted(counted.collect(), key=lambda r: (r["part"], r["slot"])):
+            start = before[r["part"]]
+            before[r["part"]] = start + r["n"]
+            ranks = {k: x for k, x in active[r["part"]][3].items() if start < x <= start + r["n"]}
+            if ranks:
+                following.append((r["lo"], r["hi"], start, ranks))
+        active = following
+    return spark.createDataFrame(sorted(found.items()), "k int, break_value double")
+
+
 def color_classes(
     cells: DataFrame, ramp: str = "inferno", breaks: DataFrame | None = None, bins: int = 256
 ) -> DataFrame:

@@ -7,13 +7,15 @@ a level is a partition overwrite and reading it prunes all others; a level is re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceway.meta import MERCATOR, WORLD, LayerMeta, layout_for_zoom
 from paceway.operators.layout import pack_tiles, unpack_tiles
 from paceway.operators.stats import classify, key_bounds
-from paceway.functions.grid import tile_of
+from paceway.functions.grid import tile_of, z_intervals
 
 TILES = (
     "z2 bigint, tile_col int, tile_row int, cells array<struct<px:int, value:double>>, "
@@ -118,13 +120,16 @@ def read_layer(
 ) -> DataFrame:
     """Cells of a stored level, or of its tiles that an extent touches; tile size and grid are those stored with it.
 
-    The tile range is a plain comparison on stored columns, so it prunes row groups of the
-    z-clustered files before any cell is unpacked.
+    The rectangle of tiles is cut into intervals of the z-curve, along which the files are sorted; these ranges are pushed to the scan
+    and leave out the row groups between them before any cell is unpacked. The plain tile range settles what intervals hold beyond the rectangle.
     """
     tiles, meta = read_tiles(spark, path, layer, zoom), layer_meta(spark, path, layer, zoom)
     if extent is not None:
         c0, r0, c1, r1 = meta.tiles_in(extent)
         tiles = tiles.where(F.col("tile_col").between(c0, c1) & F.col("tile_row").between(r0, r1))
+        if c0 >= 0 and r0 >= 0:  # the curve starts at 0
+            ranges = [F.col("z2").between(first, last) for first, last in z_intervals(c0, r0, c1, r1)]
+            tiles = tiles.where(reduce(Column.__or__, ranges, F.lit(False)))
     if num_partitions:
         tiles = tiles.repartition(num_partitions, "tile_col", "tile_row")
     return unpack_tiles(tiles, meta.tile_size)

@@ -1,9 +1,15 @@
 import json
 import math
+import pathlib
+import random
+from functools import reduce
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paceway.functions.grid import z2, z_intervals, z_number
 from paceway.meta import LATLNG, LayerMeta, layout_for_zoom
 from paceway.operators import layout
 from paceway.runtime import fresh_dir
@@ -89,3 +95,42 @@ def test_z_partition(spark):
     placed = layout.z_partition(tiles, 7).withColumn("p", F.spark_partition_id())
     block = placed.groupBy((F.col("tile_col") / 16).cast("int").alias("c"), (F.col("tile_row") / 16).cast("int").alias("r"))
     assert {r["n"] for r in block.agg(F.count_distinct("p").alias("n")).collect()} == {1}
+
+
+def test_z_intervals_cover_rectangles():
+    rng = random.Random(3)
+    for most in (4, 16, 64, 4096):
+        for _ in range(60):
+            c0, r0 = rng.randrange(20), rng.randrange(20)
+            c1, r1 = c0 + rng.randrange(14), r0 + rng.randrange(14)
+            spans = z_intervals(c0, r0, c1, r1, most)
+            want = {z_number(c, r) for c in range(c0, c1 + 1) for r in range(r0, r1 + 1)}
+            held = {z for first, last in spans for z in range(first, last + 1)}
+            assert want <= held and all(a[1] + 1 < b[0] for a, b in zip(spans, spans[1:])) and len(spans) <= most + 3
+            if most == 4096:
+                assert held == want
+    assert z_intervals(3, 3, 2, 9) == []
+
+
+def test_bounding_box_reads_few_row_groups(spark):
+    """A box of 0.1 % of the tiles: the pushed intervals leave under 2 % of the row groups, where columns and rows alone leave more."""
+    path, side = fresh_dir(spark, "catalog"), 128
+    tiles = spark.range(side * side).selectExpr("int(id % 128) as tile_col", f"int(id div {side}) as tile_row")
+    tiles = tiles.select(z2().alias("z2"), "tile_col", "tile_row").sort("z2").coalesce(1)
+    tiles.write.option("parquet.block.size", 512).option("parquet.page.size", 256).option("parquet.block.row.check.min", 8).option("parquet.page.size.row.check.min", 8).parquet(path)
+    groups = []
+    for name in sorted(pathlib.Path(path.removeprefix("file:")).glob("*.parquet")):
+        meta = pq.ParquetFile(name).metadata
+        for g in range(meta.num_row_groups):
+            groups.append({meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(3)})
+    assert len(groups) > 300
+    c0, r0, c1, r1 = 62, 62, 65, 65  # over the middle, where the curve jumps most
+    spans = z_intervals(c0, r0, c1, r1)
+    by_z = [g for g in groups if any(g["z2"].min <= last and g["z2"].max >= first for first, last in spans)]
+    assert 0 < len(by_z) < 0.02 * len(groups)
+    read = spark.read.parquet(path).where("tile_col between 62 and 65 and tile_row between 62 and 65").where(reduce(Column.__or__, [F.col("z2").between(*s) for s in spans]))
+    assert read.count() == 16
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    plan = read.select("tile_col")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(z2" in plan.split("PushedFilters")[1]

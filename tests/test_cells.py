@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +194,17 @@ def test_joins_of_burnt_layers_add_no_shuffle(spark):
         assert plan.count("Exchange hashpartitioning") == 3  # one per grouping
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("bins", [2, 256])
+def test_rank_breaks_equal_a_full_sort(spark, cells, bins):
+    """One value far beyond the rest, ties, neighbours among the doubles and both signs."""
+    rng = random.Random(11)
+    values = [rng.gauss(0, 1) for _ in range(150)] + [0.5] * 60 + [1.0, 1.0000000000000002, -1e-300, 5e-324, 0.0] + [1e6 * 4, -1.7e308, 1.7e308]
+    layer = cells({(i, 0): v for i, v in enumerate([*values, None, float("nan"), float("inf")])})
+    ordered = sorted(values)
+    for n in (1, 7, 10):
+        got = {r["k"]: r["break_value"] for r in stats.rank_breaks(layer, n, bins).collect()}
+        assert got == {k: ordered[-(-k * len(ordered) // n) - 1] for k in range(1, n + 1)}
+    assert stats.rank_breaks(layer.where("gx < 0"), 4).count() == 0
+    assert [r["break_value"] for r in stats.rank_breaks(cells({(0, 0): 3.0}), 2).collect()] == [3.0, 3.0]

@@ -39,7 +39,7 @@ def test_equals_dijkstra(spark, cells, as_dict, cap):
         pace[(6, i)] = pace[(12, i + 2)] = pace[(i, 15)] = None
     starts = [(0, 0), (21, 21), (6, 3), (40, 40), (0, 0)]
     points = spark.createDataFrame(starts, "gx int, gy int")
-    got = as_dict(cost.cost_distance(cells(pace), points, meta, cap))
+    got = as_dict(cost.cost_distance(cells(pace), points, meta, cap, meta.tile_size))
     want = dijkstra(pace, starts, 1.0, 2.0, cap)
     assert got.keys() == want.keys()
     assert all(got[c] == pytest.approx(want[c], abs=1e-9) for c in want)
@@ -50,17 +50,17 @@ def test_tile_size_does_not_matter(spark, cells, as_dict):
     pace = {(x, y): 1.0 + (x * y) % 5 for x in range(20) for y in range(20)}
     points = spark.createDataFrame([(3, 3)], "gx int, gy int")
     base = LayerMeta(LATLNG, 0.0, 0.0, 20.0, 20.0, 1.0, 1.0, 32)
-    one = as_dict(cost.cost_distance(cells(pace), points, base, 60.0))
-    two = as_dict(cost.cost_distance(cells(pace), points, base.with_(tile_size=5), 60.0))
+    one = as_dict(cost.cost_distance(cells(pace), points, base, 60.0))  # one tile
+    two = as_dict(cost.cost_distance(cells(pace), points, base.with_(tile_size=5), 60.0, 5))
     assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k]) for k in one)
-    less = as_dict(cost.cost_distance(cells(pace), points, base, 20.0))
+    less = as_dict(cost.cost_distance(cells(pace), points, base, 20.0, 7))
     assert all(v == pytest.approx(one[k]) for k, v in less.items()) and len(less) < len(one)
 
 
 def test_negative_friction_is_nodata(spark, cells, as_dict):
     pace = {(x, y): -1.0 if x == 3 else 1.0 for x in range(6) for y in range(6)}
     meta = LayerMeta(LATLNG, 0.0, 0.0, 6.0, 6.0, 1.0, 1.0, 4)
-    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9))
+    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9, meta.tile_size))
     assert got.keys() == {c for c in pace if c[0] < 3}
 
 
@@ -81,7 +81,7 @@ def test_block_size_does_not_matter(spark, cells, as_dict, monkeypatch, tmp_path
     monkeypatch.setattr(cost, "BLOCK_BITS", bits)
     used = []
     monkeypatch.setattr(cost, "fresh_dir", lambda s, name: used.append(str(tmp_path / name)) or used[-1])
-    got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9))
+    got = as_dict(cost.cost_distance(cells(pace), points, meta, 1e9, meta.tile_size))
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
     assert len(used) == 2 and not list(tmp_path.iterdir())
 
@@ -90,7 +90,7 @@ def test_many_rounds(spark, cells, as_dict):
     """A corridor that winds through many tiles takes a round for each, and ends at the exact costs."""
     pace = {(x, y): 1.0 for x in range(24) for y in range(8) if not (x % 4 == 2 and y != (7 if x % 8 == 2 else 0))}
     meta = LayerMeta(LATLNG, 0.0, 0.0, 24.0, 8.0, 1.0, 1.0, 4)
-    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9))
+    got = as_dict(cost.cost_distance(cells(pace), spark.createDataFrame([(0, 0)], "gx int, gy int"), meta, 1e9, meta.tile_size))
     want = dijkstra(pace, [(0, 0)], 1.0, 1.0, 1e9)
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
