@@ -181,9 +181,11 @@ def _levels(spark, d, method="nearest"):
     return warp.pyramid(mercator_base(spark, d), Z, 0, method)
 
 
-def _stored_levels(spark, path, tile_size=256):
-    tiles = spark.read.schema(catalog.TILES).parquet(f"{path}/tiles")
-    return layout.unpack_tiles(tiles, tile_size, ("zoom",)).select("zoom", "gx", "gy", "value")
+def _stored_levels(spark, path, layer):
+    parts = [
+        catalog.read_layer(spark, path, layer, z).select(F.lit(z).alias("zoom"), "gx", "gy", "value") for z in catalog.stored_zooms(spark, path, layer)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -192,7 +194,7 @@ def pyramid_save(spark, d):
     levels = _levels(spark, d)
     catalog.save_pyramid(levels.withColumn("value", F.lit(-1.0)), path, "walk")
     catalog.save_pyramid(levels, path, "walk")
-    return rounded(_stored_levels(spark, path))
+    return rounded(_stored_levels(spark, path, "walk"))
 
 
 @query
@@ -222,9 +224,7 @@ def levels_write(spark, d):
     levels = _levels(spark, d)
     for part in ("zoom > 3", "zoom <= 3", "zoom <= 3"):  # a level written again is replaced
         catalog.write_levels(levels.where(part), path, "walk")
-    zooms = [r["zoom"] for r in spark.read.schema(catalog.META).parquet(f"{path}/meta").select("zoom").collect()]
-    parts = [catalog.read_layer(spark, path, "walk", z).select(F.lit(z).alias("zoom"), "gx", "gy", "value") for z in sorted(zooms)]
-    return rounded(reduce(DataFrame.unionByName, parts))
+    return rounded(_stored_levels(spark, path, "walk"))
 
 
 def _flat(tiles):
@@ -668,7 +668,7 @@ def _friction_inputs(spark, d):
 def job_friction_pyramid(spark, d):
     path = fresh_dir(spark, "friction")
     jobs.save_friction_pyramid(*_friction_inputs(spark, d), path, "friction", partitions=PARTS).release()
-    return rounded(_stored_levels(spark, path))
+    return rounded(_stored_levels(spark, path, "friction"))
 
 
 @query
@@ -701,7 +701,7 @@ def _costs(out):
     spark = out.base.sparkSession
     path = fresh_dir(spark, "travel")
     catalog.write_levels(out.levels, path, "friction")
-    stored = _stored_levels(spark, path).withColumn("layer", F.lit("friction"))
+    stored = _stored_levels(spark, path, "friction").withColumn("layer", F.lit("friction"))
     return _released(out, lambda o: known(stored.unionByName(o.cost_levels.withColumn("layer", F.lit("cost"))), 4))
 
 

@@ -97,11 +97,10 @@ def friction_pyramid(
 def save_friction_pyramid(
     elements: DataFrame, elevation: DataFrame, meta: LayerMeta, path: str, layer: str, **kw
 ) -> Surface:
-    """Friction pyramid, saved with the histogram of its base."""
+    """Friction pyramid, saved with the histogram of its base in one commit."""
     out = friction_pyramid(elements, elevation, meta, **kw)
     out.histogram = stats.histogram(out.base)
-    catalog.save_histogram(out.histogram, path, layer)
-    catalog.save_pyramid(out.levels, path, layer, out.meta, kw.get("partitions", FRICTION_PARTITIONS))
+    catalog.save_pyramid(out.levels, path, layer, out.meta, kw.get("partitions", FRICTION_PARTITIONS), out.histogram)
     return out
 
 

@@ -1,12 +1,14 @@
 """Layer catalog on Parquet.
 
 Under one path: ``tiles`` holds packed tiles by layer and zoom along the z-curve, ``attributes`` the
-histograms, ``meta`` one row per layer and zoom with grid, tile size, cell type and key bounds. Every level is one partition folder, so replacing
-a level is a partition overwrite and reading it prunes all others; a level is read by name and zoom alone.
+histograms, ``meta`` one row per layer and zoom with grid, tile size, cell type and key bounds. Every write has a version folder in each, with a partition folder
+for each level, and becomes visible by one commit for all of them (:mod:`paceway.sources.commits`): tiles, metadata and histogram that are read belong to one write, and a level that is
+replaced is whole before and after. A level is read by name and zoom alone.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ from paceway.meta import MERCATOR, WORLD, LayerMeta, layout_for_zoom
 from paceway.operators.layout import pack_tiles, unpack_tiles
 from paceway.operators.stats import classify, key_bounds
 from paceway.functions.grid import tile_of, z_intervals
+from paceway.sources import commits
 
 TILES = (
     "z2 bigint, tile_col int, tile_row int, cells array<struct<px:int, value:double>>, "
@@ -29,11 +32,8 @@ META = (
 )
 
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    writer = df.write.mode(mode).partitionBy("layer", "zoom")
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def _write(df: DataFrame, path: str, kind: str, version: str) -> None:
+    df.write.partitionBy("layer", "zoom").parquet(f"{path}/{kind}/version={version}")
 
 
 def _tiles(levels: DataFrame, layer: str, tile_size: int, partitions: int | None = None) -> DataFrame:
@@ -59,52 +59,91 @@ def _level_meta(levels: DataFrame, layer: str, like: LayerMeta) -> DataFrame:
     return bounds.select(*(c.alias(k) for k, c in fields.items()), "min_col", "min_row", "max_col", "max_row", F.lit(layer).alias("layer"), "zoom")
 
 
-def write_levels(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None) -> None:
-    """Write world levels ``(zoom, gx, gy, value)`` with their metadata, beside other levels; a level that exists already is replaced.
+def write_levels(
+    levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None,
+    histogram: DataFrame | None = None, append: bool = False,
+) -> None:
+    """Write world levels ``(zoom, gx, gy, value)`` with their metadata, and a histogram if given, in one commit beside other levels.
 
-    ``like`` gives projection, tile size and cell type; by default Web Mercator in tiles of 256.
+    A level that exists already is replaced; with ``append`` it is refused with :class:`~paceway.sources.commits.LevelExists` and nothing changes. ``like`` gives projection,
+    tile size and cell type; by default Web Mercator in tiles of 256.
     """
-    like = like or layout_for_zoom(0, MERCATOR)
-    _write(_tiles(levels, layer, like.tile_size, partitions), f"{path}/tiles", "overwrite")
-    _write(_level_meta(levels, layer, like), f"{path}/meta", "overwrite")
+    like, spark, version = like or layout_for_zoom(0, MERCATOR), levels.sparkSession, uuid.uuid4().hex
+    _write(_level_meta(levels, layer, like), path, "meta", version)
+    written = spark.read.schema(META).parquet(f"{path}/meta/version={version}")
+    done = [("tiles", layer, r["zoom"]) for r in written.select("zoom").collect()]  # a row for each zoom
+    if histogram is not None:
+        done.append(("attributes", layer, 0))
+    if append:
+        commits.refuse(commits.current(spark, path), done)
+    _write(_tiles(levels, layer, like.tile_size, partitions), path, "tiles", version)
+    if histogram is not None:
+        _write(_attribute(histogram, layer), path, "attributes", version)
+    commits.publish(spark, path, done, version, append)
 
 
-def save_pyramid(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None) -> None:
-    """Write all levels of a pyramid; see :func:`write_levels`."""
-    write_levels(levels, path, layer, like, partitions)
+def append_levels(levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None) -> None:
+    """Add levels to a layer; those that exist are refused, see :func:`write_levels`."""
+    write_levels(levels, path, layer, like, partitions, append=True)
+
+
+def save_pyramid(
+    levels: DataFrame, path: str, layer: str, like: LayerMeta | None = None, partitions: int | None = None, histogram: DataFrame | None = None
+) -> None:
+    """Write all levels of a pyramid, with the histogram of its base if given; see :func:`write_levels`."""
+    write_levels(levels, path, layer, like, partitions, histogram)
+
+
+def _attribute(hist: DataFrame, layer: str) -> DataFrame:
+    """A histogram as an attribute of the layer at zoom 0."""
+    return hist.select("bin", "lo", "hi", "n", F.lit(layer).alias("layer"), F.lit(0).alias("zoom"))
 
 
 def save_histogram(hist: DataFrame, path: str, layer: str) -> None:
     """Keep a histogram as an attribute of the layer at zoom 0."""
-    rows = hist.select("bin", "lo", "hi", "n", F.lit(layer).alias("layer"), F.lit(0).alias("zoom"))
-    _write(rows, f"{path}/attributes", "overwrite")
+    version = uuid.uuid4().hex
+    _write(_attribute(hist, layer), path, "attributes", version)
+    commits.publish(hist.sparkSession, path, [("attributes", layer, 0)], version)
+
+
+def _read(spark: SparkSession, path: str, kind: str, schema: str, layer: str, zoom: int, folder: str | None = None) -> DataFrame:
+    """Rows of a level as the newest commit has it; a level that is not there has none."""
+    version = commits.current(spark, path).get((kind, layer, zoom))
+    if version is None:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(f"{path}/{folder or kind}/version={version}")
+    return rows.where((F.col("layer") == layer) & (F.col("zoom") == zoom))
 
 
 def read_histogram(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    rows = spark.read.schema(HISTOGRAM).parquet(f"{path}/attributes")
-    return rows.where(F.col("layer") == layer).select("bin", "lo", "hi", "n")
+    return _read(spark, path, "attributes", HISTOGRAM, layer, 0).select("bin", "lo", "hi", "n")
+
+
+def stored_zooms(spark: SparkSession, path: str, layer: str) -> list[int]:
+    """Zooms at which the catalog has the layer."""
+    return sorted(zoom for kind, name, zoom in commits.current(spark, path) if (kind, name) == ("tiles", layer))
 
 
 def save_layer(cells: DataFrame, meta: LayerMeta, path: str, layer: str, partitions: int | None = None) -> None:
-    """Write one layer at its zoom with its layout and key bounds."""
-    _write(_tiles(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), layer, meta.tile_size, partitions), f"{path}/tiles", "overwrite")
+    """Write one layer at its zoom with its layout and key bounds, in one commit."""
+    version = uuid.uuid4().hex
+    _write(_tiles(cells.select(F.lit(meta.zoom).alias("zoom"), "gx", "gy", "value"), layer, meta.tile_size, partitions), path, "tiles", version)
     fields = {k: v for k, v in meta.as_dict().items() if k != "zoom"}
     bounds = key_bounds(cells.where("value is not null"), meta.tile_size)
     row = bounds.select(
         *(F.lit(v).alias(k) for k, v in fields.items()), "*",
         F.lit(layer).alias("layer"), F.lit(meta.zoom).alias("zoom"),
     ).withColumn("nodata", F.col("nodata").cast("double"))
-    _write(row, f"{path}/meta", "overwrite")
+    _write(row, path, "meta", version)
+    commits.publish(cells.sparkSession, path, [("tiles", layer, meta.zoom)], version)
 
 
 def read_meta(spark: SparkSession, path: str, layer: str, zoom: int) -> DataFrame:
-    rows = spark.read.schema(META).parquet(f"{path}/meta")
-    return rows.where((F.col("layer") == layer) & (F.col("zoom") == zoom))
+    return _read(spark, path, "tiles", META, layer, zoom, "meta")
 
 
 def read_tiles(spark: SparkSession, path: str, layer: str, zoom: int) -> DataFrame:
-    rows = spark.read.schema(TILES).parquet(f"{path}/tiles")
-    return rows.where((F.col("layer") == layer) & (F.col("zoom") == zoom))
+    return _read(spark, path, "tiles", TILES, layer, zoom)
 
 
 def layer_meta(spark: SparkSession, path: str, layer: str, zoom: int) -> LayerMeta:

@@ -13,7 +13,7 @@ from paceway.functions.grid import z2, z_intervals, z_number
 from paceway.meta import LATLNG, LayerMeta, layout_for_zoom
 from paceway.operators import layout
 from paceway.runtime import fresh_dir
-from paceway.sources import catalog, ingest, points
+from paceway.sources import catalog, commits, ingest, points
 
 GRID = LayerMeta(LATLNG, 0.0, 0.0, 64.0, 64.0, 1.0, 1.0, 8)
 
@@ -134,3 +134,74 @@ def test_bounding_box_reads_few_row_groups(spark):
     plan = read.select("tile_col")._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(z2" in plan.split("PushedFilters")[1]
+
+
+def test_a_write_is_seen_whole_or_not_at_all(spark, cells, monkeypatch):
+    path, like = fresh_dir(spark, "catalog"), layout_for_zoom(0, LATLNG, 8)
+    hist = lambda n: spark.createDataFrame([(0, 0.0, 1.0, n)], "bin int, lo double, hi double, n bigint")
+    catalog.save_pyramid(level(cells, 3, 1), path, "a", like, histogram=hist(1))
+    before = commits.current(spark, path)
+    tiles = catalog._tiles
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    # killed between metadata and tiles, between tiles and histogram, and just before the commit
+    for module, name in ((catalog, "_tiles"), (catalog, "_attribute"), (commits, "_publish_as")):
+        with monkeypatch.context() as m:
+            m.setattr(module, name, dies)
+            with pytest.raises(RuntimeError, match="killed"):
+                catalog.save_pyramid(level(cells, 3, 2), path, "a", layout_for_zoom(0, LATLNG, 16), histogram=hist(2))
+    assert catalog._tiles is tiles and commits.current(spark, path) == before
+    assert {r["value"] for r in catalog.read_layer(spark, path, "a", 3).collect()} == {1.0}
+    assert catalog.layer_meta(spark, path, "a", 3).tile_size == 8 and catalog.read_histogram(spark, path, "a").first()["n"] == 1
+    catalog.save_pyramid(level(cells, 3, 2), path, "a", layout_for_zoom(0, LATLNG, 16), histogram=hist(2))
+    assert {r["value"] for r in catalog.read_layer(spark, path, "a", 3).collect()} == {2.0}
+    assert catalog.layer_meta(spark, path, "a", 3).tile_size == 16 and catalog.read_histogram(spark, path, "a").first()["n"] == 2
+
+
+def test_append_refuses_levels_that_exist(spark, cells, monkeypatch):
+    path, like = fresh_dir(spark, "catalog"), layout_for_zoom(0, LATLNG, 8)
+    catalog.append_levels(level(cells, 3, 1), path, "a", like)
+    catalog.append_levels(level(cells, 2, 1), path, "a", like)
+    with pytest.raises(commits.LevelExists, match="'a' at zoom 2"):
+        catalog.append_levels(level(cells, 2, 9).unionByName(level(cells, 1, 9)), path, "a", like)
+    assert catalog.stored_zooms(spark, path, "a") == [2, 3] and catalog.stored_zooms(spark, path, "b") == []
+    # another writer publishes the same level while this one is at work
+    publish = commits.publish
+
+    def late(*args):
+        with monkeypatch.context() as m:
+            m.setattr(commits, "publish", publish)
+            catalog.append_levels(level(cells, 1, 4), path, "a", like)
+        return publish(*args)
+
+    monkeypatch.setattr(commits, "publish", late)
+    with pytest.raises(commits.LevelExists):
+        catalog.append_levels(level(cells, 1, 5), path, "a", like)
+    assert {r["value"] for r in catalog.read_layer(spark, path, "a", 1).collect()} == {4.0}
+
+
+def test_writers_that_meet_keep_each_others_levels(spark, cells, monkeypatch):
+    path, like = fresh_dir(spark, "catalog"), layout_for_zoom(0, LATLNG, 8)
+    catalog.write_levels(level(cells, 3, 1), path, "a", like)
+    numbers, calls = commits._numbers, []
+
+    def stale(spark, path):
+        calls.append(1)
+        return numbers(spark, path)[:-1] if len(calls) == 1 else numbers(spark, path)  # the other commit came just after
+
+    monkeypatch.setattr(commits, "_numbers", stale)
+    commits.publish(spark, path, [("tiles", "b", 3)], "v")
+    assert len(calls) == 2 and set(commits.current(spark, path)) == {("tiles", "a", 3), ("tiles", "b", 3)}
+
+
+def test_expire_leaves_what_the_newest_commit_names(spark, cells):
+    path, like = fresh_dir(spark, "catalog"), layout_for_zoom(0, LATLNG, 8)
+    for value in (1, 2):
+        catalog.write_levels(level(cells, 3, value).unionByName(level(cells, 2, value)), path, "a", like)
+    catalog.write_levels(level(cells, 2, 7), path, "a", like)
+    assert len(commits.expire(spark, path)) == 1
+    assert len(list(pathlib.Path(path.removeprefix("file:")).glob("tiles/*"))) == 2
+    value = lambda z: {r["value"] for r in catalog.read_layer(spark, path, "a", z).collect()}
+    assert value(3) == {2.0} and value(2) == {7.0} and commits.expire(spark, path) == []
