@@ -131,6 +131,32 @@ def test_pyramid_levels_are_cut(cells):
     assert levels.count() == sum(4**z for z in range(7))
 
 
+def test_pyramid_in_one_pass_equals_level_by_level(cells, as_dict):
+    rng = random.Random(8)
+    values = {(rng.randrange(-700, 1400), rng.randrange(-300, 900)): rng.randrange(10**6) for _ in range(6000)}
+    values |= {(x, y): rng.randrange(10**6) for x in range(500, 530) for y in range(250, 280)}  # over the corner of four blocks
+    for depth in (1, 3, warp.BLOCK_LEVELS, warp.BLOCK_LEVELS + 3):
+        got = as_dict(warp.pyramid(cells(values), depth), "zoom", "gx", "gy")
+        level = {k: float(v) for k, v in values.items()}
+        for up in range(depth + 1):
+            assert {k[1:]: v for k, v in got.items() if k[0] == depth - up} == level
+            first = {}
+            for (x, y), v in sorted(level.items(), key=lambda c: (c[0][1], c[0][0])):  # row by row
+                first.setdefault((x // 2, y // 2), v)
+            level = first
+
+
+def test_pyramid_shuffles_the_base_once(cells):
+    first = warp._first_levels(cells({(x, y): x for x in range(40) for y in range(40)}), warp.BLOCK_LEVELS)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan
+    above = warp._first_levels(cells({(x, y): x for x in range(40) for y in range(40)}), warp.BLOCK_LEVELS + 4)
+    above.collect()
+    plan = above._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the levels above blocks read the same shuffle again and add one of their own
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning(bx") == 2  # the one, and its mention where it is reused
+
+
 def test_zoom_choice_agrees(spark):
     for meta in (GRID, LayerMeta(LATLNG, -72, 40, -71, 42, 1 / 120, 1 / 120), LayerMeta(LATLNG, 5, -60, 9, -50, 0.01, 0.02), layout_for_zoom(3)):
         bounds = spark.createDataFrame([(0, 0, meta.cols - 1, meta.rows - 1)], "gx0 int, gy0 int, gx1 int, gy1 int")
