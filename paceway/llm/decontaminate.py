@@ -4,8 +4,8 @@ An item is cut into windows of ``size`` consecutive words (an item of fewer word
 words, so one necessary word per window is enough to look it up: the rarest, counted over the whole corpus. Words of the texts are
 joined with these prefix words; a hit gives the place where the window would have to start, which must lie inside the
 text (length and positional bound), and the words there are compared with the window's, all of them. The join, the bounds and the comparison are one pass
-over the texts without a shuffle. Windows go out in blocks of ``block`` rows, so what is broadcast is bounded, however many items there are; more
-blocks mean more passes. Only hits are shuffled.
+over the texts without a shuffle. Windows go out in blocks of ``block`` rows, dealt by window and not by prefix word, so what is broadcast is bounded, however many items there are and
+however many windows share a word; more blocks mean more passes. Hits carry the id and a hash of the text, not a number given during a scan, so passes and repeated tasks agree on whose they are. Only hits and ids are shuffled.
 
 Words are those of :func:`paceway.llm.text.words`. Edge cases: null or wordless texts have ``n_words = 0`` and are clean; null or wordless items have no window;
 repeated rows are judged one by one; several items with a window in common all count; empty tables give no rows, or clean rows; other columns are not read.
@@ -43,15 +43,13 @@ def _blocks(table: DataFrame, key: str, block: int) -> list[DataFrame]:
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text="text", size=13, block=BLOCK):
-    """Where windows occur: ``(row, id, sign, n_words, start, len, window)``, and ``(window, item)``.
+    """Where windows occur: ``(id, sign, n_words, start, len, window)``, and ``(window, item)``.
 
-    Every text has one row with ``len = 0``, which carries its id and number of words; ``sign`` is a hash of the text.
+    Every row of the texts has one with ``len = 0``, which carries its number of words; ``sign`` is a hash of the text.
     """
-    pairs = windows(items, item_col, item_text, size)
-    wins = written(pairs.groupBy("win").agg(F.collect_set("item").alias("items")).withColumn("window", F.monotonically_increasing_id()), "windows")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(
-        "id", F.xxhash64("text").alias("sign"), _words("text").alias("words"), F.monotonically_increasing_id().alias("row")
-    )
+    pairs = written(windows(items, item_col, item_text, size), "item_windows")
+    wins = written(pairs.select("win").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select("id", F.xxhash64("text").alias("sign"), _words("text").alias("words"))
 
     # Rarity over the whole corpus, of the words that windows have.
     vocabulary = written(wins.select(F.explode("win").alias("word")).distinct(), "vocabulary")
@@ -72,17 +70,23 @@ def hits(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", it
         F.lit("").alias("word"), F.lit(0).alias("off"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("win"), F.lit(None).cast("long").alias("window")
     )
     found = None
-    for i, part in enumerate(_blocks(prefixes, "word", block)):
+    for i, part in enumerate(_blocks(prefixes, "window", block)):
         looked = F.concat(F.array(F.lit("")), "words") if i == 0 else F.concat(F.array(F.lit(None).cast("string")), "words")
-        spread = texts.select("row", "id", "sign", "words", F.posexplode(looked).alias("pos", "word"))
+        spread = texts.select("id", "sign", "words", F.posexplode(looked).alias("pos", "word"))
         start = F.when(F.col("len") == 0, F.lit(1)).otherwise(F.col("pos") - F.col("off"))
         met = spread.join(F.broadcast(part.unionByName(every) if i == 0 else part), "word").withColumn("start", start)
         inside = (F.col("start") >= 1) & (F.col("start") + F.col("len") - 1 <= F.size("words"))
         same = F.slice("words", F.greatest(F.col("start"), F.lit(1)), F.col("len")) == F.col("win")
         met = met.where((F.col("len") == 0) | (inside & same))
-        met = met.select("row", "id", "sign", F.size("words").cast("long").alias("n_words"), "start", "len", "window")
+        met = met.select("id", "sign", F.size("words").cast("long").alias("n_words"), "start", "len", "window")
         found = met if found is None else found.union(met)
-    return written(found, "hits"), wins.select("window", F.explode("items").alias("item"))
+    return written(found, "hits"), pairs.join(wins, "win").select("window", "item")
+
+
+def _with(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """The rows with a column of what was found for their id, which may be null, and text."""
+    f = found.select(F.col("id").alias("_id"), F.col("sign").alias("_sign"), column)
+    return rows.join(f, F.col("id").eqNullSafe(F.col("_id")) & (F.col("sign") == F.col("_sign")), "left").drop("_id", "_sign")
 
 
 def judge(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text="text", size=13, share=20, block=BLOCK) -> DataFrame:
@@ -91,17 +95,19 @@ def judge(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", i
     ``n_hit`` counts the words inside any occurrence of a window; a text is contaminated from one part in ``share`` of its words on.
     """
     found, owners = hits(docs, items, id_col, text_col, item_col, item_text, size, block)
-    spans = F.array_sort(F.collect_list(F.when(F.col("len") > 0, F.struct("start", (F.col("start") + F.col("len")).alias("end")))))
+    # Rows alike in id and text have the same hits; a set leaves out their repetitions before the shuffle.
+    spans = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end"))))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
 
     def step(acc, s):
         new = F.greatest(s["end"] - F.greatest(s["start"], acc["upto"]), F.lit(0))
         return F.struct((acc["n"] + new).alias("n"), F.greatest(acc["upto"], s["end"]).alias("upto"))
 
-    per = found.groupBy("row").agg(F.max(F.when(F.col("len") == 0, F.struct("id", "sign", "n_words"))).alias("d"), spans.alias("spans"))
-    per = per.select("row", "d.*", F.aggregate("spans", zero, step, lambda a: a["n"]).alias("n_hit"))
-    named = found.where("len > 0").select("row", "window").distinct().join(owners, "window").groupBy("row").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
-    out = per.join(named, "row", "left")
+    hit = found.where("len > 0")
+    counted = hit.groupBy("id", "sign").agg(spans.alias("spans")).select("id", "sign", F.aggregate("spans", zero, step, lambda a: a["n"]).alias("n"))
+    named = hit.select("id", "sign", "window").distinct().join(owners, "window").groupBy("id", "sign").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
+    rows = found.where("len = 0").select("id", "sign", "n_words")
+    out = _with(_with(rows, counted, "n"), named, "items").withColumn("n_hit", F.coalesce("n", F.lit(0).cast("long")))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         "id",

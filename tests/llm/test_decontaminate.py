@@ -67,3 +67,20 @@ def test_repeated_rows_and_empty_tables(spark):
     assert decontaminate.clean(d, b).count() == 1
     assert decontaminate.judge(d.where("false"), b).count() == 0
     assert [r["contaminated"] for r in decontaminate.judge(d, b.where("false")).collect()] == [False] * 4
+
+
+def test_windows_of_one_word_in_many_blocks_and_long_texts(spark):
+    """All windows begin with their rarest word, the same one; one window is shared by many items; a text of 40,000 words; ids that repeat over different texts, and ids of null."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(40)}"
+    tail = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, f"rare {tail(12)}") for i in range(200)] + [(1000 + i, "rare shared passage") for i in range(300)]
+    texts = [f"{tail(rng.randrange(50))} {rng.choice(items)[1]} {tail(rng.randrange(300))}" for _ in range(40)]
+    texts += [f"{tail(20_000)} {items[7][1]} {tail(20_000)}", "rare shared passage rare shared passage", tail(30)]
+    rows = [(i // 3 if i % 5 else None, t) for i, t in enumerate(texts)] * 2
+    want = brute(list(enumerate(t for _, t in rows)), items)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.judge(d, b, block=16).collect()
+    show = lambda v: sorted(map(repr, v))
+    assert show((r["id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got) == show((rows[i][0], *v) for i, v in want.items())
