@@ -5,7 +5,7 @@ long text is not suspect for its length; what no sentence explains is left to th
 a sentence in proportion to its own score, so the words of the offending sentences take the weight. The same scores locate those sentences.
 
 Words count with their first letters (prefixes of four and five), so that an unseen form of a known stem is recognised. The vocabulary is what the labelled rows show to go with the label: grouped counts of documents by feature, kept if a
-feature lifts the rate of the label beyond chance, ``features`` at most. The model is fitted on a bounded sample of labelled rows, ``sample`` in the mean, chosen by a hash of the id; the sample of labels is small
+feature lifts the rate of the label beyond chance; all of those are kept, their number is bounded by the sample. The model is fitted on a bounded sample of labelled rows, ``sample`` in the mean, chosen by a hash of the id; the sample of labels is small
 enough to be broadcast. Every text is scored whole, in one pass without a shuffle.
 
 Edge cases: null, empty and wordless texts get the leak as score; missing labels are left out, of conflicting ones toxic wins; repeated rows are scored
@@ -59,7 +59,7 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, id_col="doc_id"
     return texts.join(known, "_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: int = 400, rate: float = 0.1, ridge: float = 1e-4, prior: float = 0.001) -> tuple[float, float, dict[str, float]]:
+def train(rows: DataFrame, least_docs: int = 3, steps: int = 400, rate: float = 0.1, ridge: float = 1e-4, prior: float = 0.001) -> tuple[float, float, dict[str, float]]:
     """``(leak, bias, weights by feature)``, the first two as logits, from ``text, toxic``."""
     import numpy as np
 
@@ -95,8 +95,8 @@ def train(rows: DataFrame, features: int = 20_000, least_docs: int = 3, steps: i
     base = n_toxic / n
     sums = rows.mapInArrow(tally, "feature string, toxic long, n long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     strength = (F.col("toxic") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
-    chosen = sums.where((F.col("toxic") >= least_docs) & (strength > 3)).orderBy(strength.desc(), "feature").limit(features).select("feature").collect()
-    place = {r["feature"]: i for i, r in enumerate(chosen)}
+    chosen = sums.where((F.col("toxic") >= least_docs) & (strength > 3)).select("feature").collect()  # at most the features of the sample
+    place = {f: i for i, f in enumerate(sorted(r["feature"] for r in chosen))}
 
     def instances(batches):
         import pyarrow as pa
