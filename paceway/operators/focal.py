@@ -15,6 +15,8 @@ HORN = [
     (-1, 0, -2.0, 0.0), (0, 0, 0.0, 0.0), (1, 0, 2.0, 0.0),
     (-1, 1, -1.0, 1.0), (0, 1, 0.0, 2.0), (1, 1, 1.0, 1.0),
 ]
+#: Side of the tiles by which :func:`slope` deals cells to tasks.
+DEALT = 256
 
 
 def buffer_tiles(cells: DataFrame, meta: LayerMeta, n: int = 1) -> DataFrame:
@@ -43,9 +45,10 @@ def slope(
 ) -> DataFrame:
     """Slope in degrees by Horn's 3x3 gradient.
 
-    A missing neighbour counts as the centre value; a NODATA centre gives NODATA. Each cell sends
-    its weighted height to the nine cells around it and one grouping adds up: a single shuffle of
-    partial sums with map-side combine, whole for layers with holes, no sort, no tile edges to mind.
+    A missing neighbour counts as the centre value; a NODATA centre gives NODATA. Cells go to the tiles
+    (``DEALT`` cells a side, whatever the layer's are) they lie in or touch, so the shuffle moves each cell once and the
+    ring of a tile again, 1.02 rows a cell. In its tile a cell sends its weighted height to the nine cells around it and a
+    grouping that the dealing already satisfies adds up: no sort, whole for layers with holes.
     Per target the sums of weights present stand for the missing ones, since all weights add to 0.
     The z-factor follows the latitude of the tile centre; ``None`` leaves heights as they are.
     """
@@ -58,10 +61,12 @@ def slope(
             for dx, dy, wx, wy in HORN
         )
     )
+    known = cells.where("value is not null").select("gx", "gy", F.col("value").cast("double").alias("h"))
+    dealt = buffer_tiles(known, meta.with_(tile_size=DEALT)).repartition("tile_col", "tile_row")
     sent = (
-        cells.where("value is not null")
-        .select("gx", "gy", F.col("value").cast("double").alias("h"), F.explode(around).alias("k"))
+        dealt.select("tile_col", "tile_row", "gx", "gy", "h", F.explode(around).alias("k"))
         .select(
+            "tile_col", "tile_row",
             (F.col("gx") + F.col("k.dx")).alias("gx"),
             (F.col("gy") + F.col("k.dy")).alias("gy"),
             (F.col("h") * F.col("k.wx")).alias("hx"),
@@ -71,8 +76,9 @@ def slope(
             F.when((F.col("k.dx") == 0) & (F.col("k.dy") == 0), F.col("h")).alias("h"),
         )
         .where(inside(meta))
+        .where((tile_of("gx", DEALT) == F.col("tile_col")) & (tile_of("gy", DEALT) == F.col("tile_row")))
     )
-    got = sent.groupBy("gx", "gy").agg(
+    got = sent.groupBy("tile_col", "tile_row", "gx", "gy").agg(
         *(F.sum(c).alias(c) for c in ("hx", "hy", "wx", "wy")), F.max("h").alias("h")
     )
     gx = (F.col("hx") - F.col("h") * F.col("wx")) / F.lit(8 * meta.cell_w)
