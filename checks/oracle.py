@@ -418,7 +418,9 @@ def styled(levels_sql: str, breaks_sql: str, colors: int, layer: str) -> str:
  least({breaks_sql}, {colors - 1}) as cls from ({levels_sql}) l) t group by zoom, tile_col, tile_row"""
 
 
-oracle("styled_tiles", styled(WALK_LEVELS, "cast(greatest(0, least(10, ceil((value - 1e0) / 0.5e0))) as int)", 10, "walk"))
+_STYLED = styled(WALK_LEVELS, "cast(greatest(0, least(10, ceil((value - 1e0) / 0.5e0))) as int)", 10, "walk")
+oracle("styled_tiles", _STYLED)
+oracle("styled_tiles_write", _STYLED)
 oracle("tile_counts", f"select zoom, count(*) as n from (select distinct zoom, gx // 16, gy // 16 from ({WALK_LEVELS}) l) t group by zoom")
 
 # ---- filters and projections --------------------------------------------------------------------

@@ -16,6 +16,7 @@ from paceway.operators import cost, features, focal, layout, local, raster, stat
 from paceway.plans import jobs
 from paceway.runtime import fresh_dir, written
 from paceway.sources import catalog, ingest, osm, points
+from paceway.sources import tiles as images
 
 Z = 7
 MERC = layout_for_zoom(Z, MERCATOR)
@@ -241,6 +242,15 @@ def styled_tiles(spark, d):
     return _flat(catalog.style_tiles(levels, breaks, 10, "tiles", "walk"))
 
 
+@query
+def styled_tiles_write(spark, d):
+    """Written as images at their addresses and read back."""
+    root = f"{fresh_dir(spark, 'styled')}/tiles"
+    breaks = F.array(*(F.lit(1.0 + 0.5 * k) for k in range(10)))
+    images.write_tiles(catalog.style_tiles(_levels(spark, d), breaks, 10, root, "walk"), root, stats.RAMPS["inferno"])
+    return _flat(images.read_tiles(spark, root))
+
+
 @query
 def tile_counts(spark, d):
     return stats.count_levels(_levels(spark, d), 16)

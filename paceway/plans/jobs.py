@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paceway.meta import MERCATOR, TINY_EXTENT, LayerMeta, layout_for_zoom, positive
 from paceway.meta import target_zoom as zoom_of
 from paceway.operators import cost, features, focal, local, raster, stats, warp
-from paceway.sources import catalog, osm
+from paceway.sources import catalog, osm, tiles
 from paceway.sources.points import to_mercator
 
 
@@ -126,6 +126,16 @@ def render_friction_tiles(
     return out
 
 
+def save_friction_tiles(
+    elements: DataFrame, elevation: DataFrame, meta: LayerMeta, url: str, layer: str,
+    ramp: str = "inferno", **kw,
+) -> Surface:
+    """Friction pyramid rendered and written: an image for each tile at ``{url}/{layer}/{zoom}/{col}/{row}.png``."""
+    out = render_friction_tiles(elements, elevation, meta, url, layer, ramp, **kw)
+    tiles.write_tiles(out.tiles, url, stats.RAMPS[ramp], out.meta.tile_size)
+    return out
+
+
 # ---- presence of roads and water ----------------------------------------------------------------
 def presence_layer(
     elements: DataFrame, meta: LayerMeta | None = None, partitions: int = PRESENCE_PARTITIONS
