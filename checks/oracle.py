@@ -375,6 +375,8 @@ _C0, _R0, _C1, _R1 = fx.GRID.tiles_in(fx.BOX)
 oracle("layer_bbox", f"""select {_ROUND} from fx_elev where value is not null
  and gx // 16 between {_C0} and {_C1} and gy // 16 between {_R0} and {_R1}""")
 oracle("raster_ingest", """select gx, gy, round(value + gy // 16, 6) as value, gx // 16 as tile_col, gy // 16 as tile_row from fx_dem""")
+oracle("raster_files_ingest", f"""select gx, gy, round(value, 6) as value, gx // 16 as tile_col, gy // 16 as tile_row from fx_dem
+ where gx // 16 between {_C0} and {_C1} and gy // 16 between {_R0} and {_R1}""")
 oracle("flowlines_read", "select f.way_id, ftype, stream_order, seq, node_id from fx_flow f join fx_refs r on f.way_id = r.way_id")
 oracle("points_read", "select lon, lat from fx_sources")
 _WL = f"select zoom, gx, gy, round(value, 6) as value from ({WALK_LEVELS}) a"

@@ -15,7 +15,7 @@ from paceway.meta import MERCATOR, layout_for_zoom
 from paceway.operators import cost, features, focal, layout, local, raster, stats, warp
 from paceway.plans import jobs
 from paceway.runtime import fresh_dir, written
-from paceway.sources import catalog, ingest, osm, points
+from paceway.sources import catalog, ingest, osm, points, rawgrid
 from paceway.sources import tiles as images
 
 Z = 7
@@ -151,6 +151,14 @@ def raster_ingest(spark, d):
     return rounded(ingest.ingest_raster(fx.dem_files(spark, d), fx.GRID))
 
 
+@query
+def raster_files_ingest(spark, d):
+    """Elevation written as a mosaic of raw files, of which those that the box touches are read."""
+    folder = fresh_dir(spark, "grids")
+    rawgrid.write_grids(fx.dem(spark, d), folder, fx.GRID)
+    return rounded(ingest.ingest_raster(rawgrid.read_grids(spark, folder, fx.GRID, fx.BOX), fx.GRID))
+
+
 @query
 def flowlines_read(spark, d):
     lines = fx.flowlines(spark, d)
