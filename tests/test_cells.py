@@ -110,28 +110,6 @@ def test_bilinear_of_a_plane(cells, as_dict):
         assert v == pytest.approx(3 * u + 2 * w)
 
 
-def test_slope_shuffles_cells_once(cells):
-    """The nine rows a cell sends are made after the shuffle, which moves at most 1.1 rows a cell."""
-    meta = LayerMeta(LATLNG, 0.0, 0.0, 5.4, 5.4, 0.01, 0.01, 16)
-    layer = cells({(x, y): float(x * y % 7) for x in range(250, 262) for y in range(540)})
-    plan = focal.slope(layer, meta)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(tile_col" in plan
-    assert plan.index("Generate explode([") < plan.index("Exchange") < plan.index("explode(sequence(")  # the plan is printed from its end
-    whole = cells({(x, y): 1.0 for x in range(0, 540, 3) for y in range(540)})
-    assert focal.buffer_tiles(whole, meta.with_(tile_size=focal.DEALT)).count() <= 1.1 * whole.count()
-
-
-def test_slope_over_the_edges_of_dealt_tiles(cells, as_dict, monkeypatch):
-    meta = LayerMeta(LATLNG, 0.0, 0.0, 20.0, 20.0, 1.0, 1.0, 16)
-    rng = random.Random(4)
-    layer = cells({(x, y): None if rng.random() < 0.2 else rng.random() for x in range(20) for y in range(20)})
-    want = as_dict(focal.slope(layer, meta))
-    for side in (1, 3, 7):
-        monkeypatch.setattr(focal, "DEALT", side)
-        got = as_dict(focal.slope(layer, meta))
-        assert got.keys() == want.keys() and all(v == pytest.approx(want[k]) for k, v in got.items())
-
-
 def test_pyramid(cells, as_dict):
     base = cells({(0, 0): None, (1, 0): 2, (0, 1): 3, (2, 2): 4, (3, 3): 8})
     near = as_dict(warp.pyramid(base, 2), "zoom", "gx", "gy")
