@@ -5,13 +5,15 @@ stands before it, and the encoding after the next byte depends only on the token
 state; a transition on a byte carries how many tokens the count changes by. States are compiled when they are first met and kept, up to ``cached`` transitions (and the counts of twice as many words). The splitter of text into words
 (contractions, letters, digits, other signs, white space with its look-ahead) runs in front of it and resets the state where a word ends.
 
-**Chunks.** A text is cut into chunks of ``chunk`` characters. At a single space after a sign that is not white space, every state leads to the same one, so the map of a chunk from entry state to exit state and
-count is settled but for the stretch before its first such place: it is ``(head, count, tail)``. Maps compose associatively, tail with head through the transducer. A task makes the maps of its chunks; the
-chunks of a text then meet by row in one task, which composes them one after the other. That is the whole composition: there is no parallel scan over the chunks of one text.
+**Chunks.** A text is cut into chunks of ``chunk`` characters. At a settled place every state leads to the same one, whatever stands before and after it, so the map of a chunk from entry state to exit state and
+count is settled but for the stretches before its first and after its last such place: it is ``(head, count, tail)``. Maps compose associatively, tail with head through the transducer. Settled places are single spaces
+after a sign that is not white space; a chunk without one falls back on ends of words that no contraction, look-ahead or special string can move: after a letter or digit where neither follows, and between the two.
+So Chinese text with its stops, base64, links and lines without spaces have maps as well. A task makes the maps of its chunks; the chunks of a text then meet by row in one task, which composes them one after the
+other: some bytes for each chunk, but there is no parallel scan over the chunks of one text.
 
-**What has no map.** A chunk without a single space after such a sign (Chinese or Japanese text, base64, lines that hold no space) is not settled anywhere and has no map. Its raw text is returned, shuffled and, with
-what neighbouring chunks leave open, tokenised in order by the one task that composes its text, so the longest stretch without a settled place is sequential work and is held in memory whole. Counts are right all the
-same. Nor are the tables bounded inside a word: ``cached`` is tested before a word begins, so a single word of very many letters can add transitions beyond it.
+**What has no map.** A chunk inside a single word (letters only, digits only, signs only, white space only) is not settled anywhere. Its raw text is returned, shuffled and, with what neighbouring chunks leave open,
+tokenised in order by the one task that composes its text, so the longest single word is sequential work and is held in memory whole. Counts are right all the same. Nor are the tables bounded inside a word: ``cached``
+is tested before a word begins, so a single word of very many letters can add transitions beyond it.
 
 Edge cases: a null or empty text has no bytes and no tokens; special strings in a text are one token each, as the library has it by default; repeated rows are counted one by one; an empty table gives
 no rows; other columns are not read.
@@ -203,12 +205,23 @@ def _machine():
                 total += n
             return total
 
+        # Ends of words, but for the seams inside special strings.
+        seams = {s[i : i + 2] for s in special for i in range(len(s) - 1)}
+        unless = "".join(f"(?!(?<={re.escape(s[0])}){re.escape(s[1])})" for s in sorted(seams) if s[0].isalnum())
+        ends = re.compile(rf"(?:(?<=[^\W_])(?=[\W_])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])){unless}")
+
         def chunk_map(text):
             """``(head, count, tail)``; without a settled place, ``(text, None, None)``."""
             parts = settled.split(text)
-            if len(parts) == 1:
+            if len(parts) > 1:
+                return parts[0], count(parts[1:-1]), " " + parts[-1]
+            first = last = None
+            for place in ends.finditer(text):
+                last = place.start()
+                first = last if first is None else first
+            if first is None:
                 return text, None, None
-            return parts[0], count(parts[1:-1]), " " + parts[-1]
+            return text[:first], run(text[first:last]), text[last:]
 
         def compose(maps):
             """Tokens of a text from the maps of its chunks in order."""

@@ -42,3 +42,21 @@ def test_small_cache_and_repeated_rows(spark, library):
     n = len(library.encode("some words, some more").ids)
     assert got == [(0, 0), (21, n), (21, n), (70_002, len(library.encode("x" * 70_000 + " y").ids))]
     assert tokens.count(docs.where("false"), FILE).count() == 0
+
+
+def test_chunks_without_spaces_have_maps(spark, library):
+    """Chinese with stops, base64, links and lines: no chunk returns its raw text whole, and counts stay the library's."""
+    rng = random.Random(5)
+    chinese = "".join(rng.choice("天地玄黃宇宙洪荒日月盈昃") if rng.random() < 0.9 else rng.choice("，。、") for _ in range(4000))
+    base64 = "".join(rng.choice("ABCDEFGHabcdefgh01234567+/") for _ in range(4000))
+    links = "".join(f"https://a{rng.randrange(99)}.example/x'll't/{rng.randrange(9999)}?q=<|endoftext|>\n" for _ in range(80))
+    mixed = "".join(rng.choice(["'s", "'re", "a", "B7", "½", "é", "e\u0301", "\n", "\t", "<|endoftext|>", "<|endo", "t|>", "...", "٣", "Ⅷ"]) for _ in range(3000))
+    texts = [chinese, base64, links, mixed]
+    chunk_map, _, close = tokens._machine()(FILE, 500_000)
+    for t in texts:
+        assert all(chunk_map(t[i : i + 500])[1] is not None for i in range(0, len(t) - 500, 500))
+    close()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chunk in (7, 64, 500):
+        got = {r["id"]: r["n_tokens"] for r in tokens.count(docs, FILE, chunk=chunk).collect()}
+        assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
