@@ -156,6 +156,20 @@ def link_references(
     )
 
 
+def link_points(lines: DataFrame, id_col: str, carry: tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
+    """Edges between neighbouring points of each part of lines that carry their ``points`` (``part``, ``lon``, ``lat``), as vector files give them.
+
+    The points of a line are the array of one row, so no node is looked up and no line gathered; edges are dealt once for the burning that follows, see :func:`link_references`.
+    """
+    points = F.col("points")
+    step = F.zip_with(F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0))), F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    rows = lines.select(F.col(id_col).alias("feature_id"), *carry, F.posexplode(step).alias("seq", "step")).where("step.a.part = step.b.part")
+    parts = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(
+        "feature_id", (F.col("seq") + 1).alias("seq"), F.col("step.a.lon").alias("x0"), F.col("step.a.lat").alias("y0"), F.col("step.b.lon").alias("x1"), F.col("step.b.lat").alias("y1"), *carry,
+    ).repartition(parts, "feature_id", "seq")
+
+
 def assemble_features(
     ways: DataFrame, nodes: DataFrame, carry: tuple[str, ...] = (), partitions: int | None = None
 ) -> DataFrame:
