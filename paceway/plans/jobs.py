@@ -95,11 +95,11 @@ def friction_pyramid(
 
 
 def save_friction_pyramid(
-    elements: DataFrame, elevation: DataFrame, meta: LayerMeta, path: str, layer: str, **kw
+    elements: DataFrame, elevation: DataFrame, meta: LayerMeta, path: str, layer: str, one_pass: bool = False, **kw
 ) -> Surface:
-    """Friction pyramid, saved with the histogram of its base in one commit."""
+    """Friction pyramid, saved with the histogram of its base in one commit; with ``one_pass`` from one scan of the base, see :func:`paceway.operators.stats.centroid_bins`."""
     out = friction_pyramid(elements, elevation, meta, **kw)
-    out.histogram = stats.histogram(out.base)
+    out.histogram = stats.centroid_bins(stats.centroids(out.base)) if one_pass else stats.histogram(out.base)
     catalog.save_pyramid(out.levels, path, layer, out.meta, kw.get("partitions", FRICTION_PARTITIONS), out.histogram)
     return out
 

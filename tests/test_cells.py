@@ -234,3 +234,36 @@ def test_rank_breaks_equal_a_full_sort(spark, cells, bins):
         assert got == {k: ordered[-(-k * len(ordered) // n) - 1] for k in range(1, n + 1)}
     assert stats.rank_breaks(layer.where("gx < 0"), 4).count() == 0
     assert [r["break_value"] for r in stats.rank_breaks(cells({(0, 0): 3.0}), 2).collect()] == [3.0, 3.0]
+
+
+def test_centroids_bounds_and_error(spark):
+    rng = random.Random(3)
+    values = [rng.lognormvariate(2, 3) * rng.choice([1, 1, -1]) for _ in range(5000)] + [2.0**k for k in range(-1074, 1024, 7)] + [0.0, -0.0, 8.0, 8.0, -1e300, 1e-320]
+    odd = [None, math.nan, math.inf, -math.inf]
+    layer = spark.createDataFrame([(v,) for v in values + odd], "value double").repartition(5)
+    state = stats.centroids(layer).collect()
+    assert sum(r["n"] for r in state) == len(values)
+    assert (min(r["lo"] for r in state), max(r["hi"] for r in state)) == (min(values), max(values))
+    for r in state:
+        assert r["lo"] <= r["centroid"] <= r["hi"]
+        assert r["hi"] - r["lo"] <= max(abs(r["lo"]), abs(r["hi"])) / 128
+        assert r["n"] == sum(r["lo"] <= v <= r["hi"] for v in values)
+    plan = stats.centroids(layer)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "partial_count" in plan
+    # Edges of equal bins: off by at most the row that an edge cuts.
+    small = [v for v in values if abs(v) < 200]
+    part = stats.centroids(spark.createDataFrame([(v,) for v in small], "value double")).collect()
+    bins = {r["bin"]: r for r in stats.centroid_bins(spark.createDataFrame(part), 80).collect()}
+    assert sum(r["n"] for r in bins.values()) == len(small)
+    upto, off = 0, 0
+    for i in range(80):
+        if i not in bins:
+            continue
+        upto, edge = upto + bins[i]["n"], bins[i]["hi"]
+        cut = sum(r["n"] for r in part if r["lo"] < edge <= r["hi"])
+        wrong = abs(upto - sum(v < edge or i == 79 for v in small))
+        off += wrong
+        assert wrong <= cut
+    assert stats.centroids(spark.createDataFrame([(None,)], "value double")).count() == 0
+    one = stats.centroid_bins(stats.centroids(spark.createDataFrame([(4.0,)] * 3, "value double"))).collect()
+    assert [tuple(r) for r in one] == [(0, 4.0, 4.0, 3)]
