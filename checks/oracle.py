@@ -378,6 +378,9 @@ oracle("raster_ingest", """select gx, gy, round(value + gy // 16, 6) as value, g
 oracle("raster_files_ingest", f"""select gx, gy, round(value, 6) as value, gx // 16 as tile_col, gy // 16 as tile_row from fx_dem
  where gx // 16 between {_C0} and {_C1} and gy // 16 between {_R0} and {_R1}""")
 oracle("flowlines_read", "select f.way_id, ftype, stream_order, seq, node_id from fx_flow f join fx_refs r on f.way_id = r.way_id")
+oracle("flowlines_files", """select f.way_id, ftype, stream_order, cast(row_number() over (partition by f.way_id order by seq) - 1 as int) as seq,
+ round(lon, 7) as lon, round(lat, 7) as lat from fx_flow f join fx_refs r on f.way_id = r.way_id join fx_nodes n on r.node_id = n.node_id""")
+oracle("flow_files_layer", f"select {_ROUND} from l_flow where value is not null")
 oracle("points_read", "select lon, lat from fx_sources")
 _WL = f"select zoom, gx, gy, round(value, 6) as value from ({WALK_LEVELS}) a"
 oracle("pyramid_save", _WL)
@@ -492,6 +495,7 @@ oracle("float_cells", "select gx, gy, round(cast(cast(nullif(value, 0e0) / 7 as
 CTE["l_tenth"] = "select gx, gy, value / 10 as value from fx_dem"
 oracle("tobler", f"select {_ROUND} from ({walked('l_tenth')}) a")
 oracle("merge_max", f"select {_ROUND} from l_merged")
+oracle("merge_max_dealt", f"select {_ROUND} from l_merged")
 CTE["l_two"] = "select e.gx, e.gy, e.value as a, c.value * 600 as b from fx_elev e join l_cover c on e.gx = c.gx and e.gy = c.gy"
 oracle("local_max", """select gx, gy, round(case when a is null or b is null then null else greatest(a, b) end, 6) as strict,
  round(case when a is null then b when b is null then a else greatest(a, b) end, 6) as loose,
@@ -541,6 +545,14 @@ oracle("pyramid_bilinear", f"select zoom, gx, gy, round(value, 6) as value from
 # ---- statistics ---------------------------------------------------------------------------------
 oracle("histogram", _HIST.format(counted("fx_elev", 80)))
 oracle("histogram_256", _HIST.format(counted("fx_elev", 256)))
+CTE["l_power"] = """select value, e0 - case when power(2e0, e0) > abs(value) then 1 else 0 end + case when power(2e0, e0 + 1) <= abs(value) then 1 else 0 end as e
+ from (select value, case when value <> 0 then floor(log2(abs(value))) end as e0 from (select cast(value as double) as value from fx_elev) a where value is not null) b"""
+CTE["l_centroids"] = """select sum(value) / count(*) as centroid, count(*) as n, min(value) as lo, max(value) as hi
+ from l_power group by sign(value), e, floor(abs(value) / power(2e0, e) * 128e0)"""
+oracle("histogram_centroids", "select round(centroid, 6) as centroid, n, round(lo, 6) as lo, round(hi, 6) as hi from l_centroids")
+oracle("histogram_one_pass", """select bin, round(lo0 + bin * span / 80e0, 6) as lo, round(lo0 + (bin + 1) * span / 80e0, 6) as hi, cast(sum(n) as bigint) as n
+ from (select least(coalesce(cast(floor((centroid - lo0) / nullif(span, 0e0) * 80e0) as int), 0), 79) as bin, lo0, span, n
+ from l_centroids, (select min(lo) as lo0, max(hi) - min(lo) as span from l_centroids) e) a group by bin, lo0, span""")
 oracle("quantile_breaks", f"select k, round(break_value, 6) as break_value from ({breaks('fx_elev', 10)}) b")
 oracle("rank_breaks", """select cast(k as int) as k, round(value, 6) as break_value
  from (select value, row_number() over (order by value) as place, count(*) over () as n from fx_elev where value is not null) a, range(1, 11) t(k) where place = (k * n + 9) // 10""")

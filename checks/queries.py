@@ -15,7 +15,7 @@ from paceway.meta import MERCATOR, layout_for_zoom
 from paceway.operators import cost, features, focal, layout, local, raster, stats, warp
 from paceway.plans import jobs
 from paceway.runtime import fresh_dir, written
-from paceway.sources import catalog, ingest, osm, points, rawgrid
+from paceway.sources import catalog, dealt, ingest, osm, points, rawgrid, vectors
 from paceway.sources import tiles as images
 
 Z = 7
@@ -168,6 +168,30 @@ def flowlines_read(spark, d):
     return attributes.join(vertices, "way_id").select("way_id", "ftype", "stream_order", "seq", "node_id")
 
 
+def line_files(spark, d):
+    """Streams written as line files with their points, and read back."""
+    flows, folder = fx.flowlines(spark, d), fresh_dir(spark, "lines")
+    placed = features.references(flows).join(fx.nodes(spark, d), "node_id")
+    points = placed.groupBy("way_id").agg(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))).alias("points"))
+    lines = flows.drop("refs").join(points, "way_id", "left")
+    vectors.write_lines(lines, folder, {"way_id": ("way_id", 20), "ftype": ("FType", 8), "stream_order": ("StreamOrde", 4)})
+    read = vectors.read_lines(spark, folder, {"way_id": "way_id", "ftype": "FType", "stream_order": "StreamOrde"})
+    return read.withColumn("way_id", F.col("way_id").cast("long"))
+
+
+@query
+def flowlines_files(spark, d):
+    place = F.posexplode("points").alias("seq", "p")
+    return line_files(spark, d).select("way_id", "ftype", "stream_order", place).select("way_id", "ftype", "stream_order", "seq", F.round("p.lon", 7).alias("lon"), F.round("p.lat", 7).alias("lat"))
+
+
+@query
+def flow_files_layer(spark, d):
+    """Streams from line files, weighted and burnt without a look-up of nodes."""
+    flows = features.order_weight(features.valid_order(features.filter_ftype(line_files(spark, d))))
+    return known(raster.rasterize_features(features.link_points(flows, "way_id", ("value",)), fx.GRID, lines_only=True))
+
+
 @query
 def points_read(spark, d):
     path = fresh_dir(spark, "points")
@@ -498,6 +522,16 @@ def merge_max(spark, d):
     return rounded(local.merge_max(walk(spark, d), roads(spark, d)))
 
 
+@query
+def merge_max_dealt(spark, d):
+    """Both layers stored by cell key; the join reads them where they lie."""
+    stored = []
+    for name, cells in (("walk", walk(spark, d)), ("roads", roads(spark, d))):
+        stored.append(fresh_dir(spark, name))
+        dealt.save_dealt(cells, stored[-1], PARTS)
+    return rounded(local.merge_max(*(dealt.read_dealt(spark, path) for path in stored)))
+
+
 def _two(spark, d):
     """Elevation with holes, and cover weights times 600."""
     b = cover_speed(spark, d).withColumn("value", F.col("value") * 600)
@@ -620,6 +654,16 @@ def histogram_256(spark, d):
     return rounded(stats.histogram(elevation(spark, d), 256))
 
 
+@query
+def histogram_centroids(spark, d):
+    return rounded(stats.centroids(elevation(spark, d)))
+
+
+@query
+def histogram_one_pass(spark, d):
+    return rounded(stats.centroid_bins(stats.centroids(elevation(spark, d))))
+
+
 @query
 def quantile_breaks(spark, d):
     return rounded(stats.quantile_breaks(elevation(spark, d), 10))
