@@ -28,6 +28,8 @@ from paceway.runtime import small_batches, written
 
 #: Rounds of hubs before the rest of a bucket is compared exactly.
 ROUNDS = 1
+#: Members of a bucket that a task of the rest holds against all others of it; a larger bucket is dealt over more tasks.
+REST_BLOCK = 2048
 
 
 def _kernel():
@@ -293,8 +295,9 @@ def _rest(members: DataFrame, apart: DataFrame, centres: DataFrame | None, tried
     """Pairs of a bucket in different components that may still be linked.
 
     Three exact bounds leave out what cannot: the overlap is at most what both can share with anyone here, and at most what their outlines share; and, distance being a metric, two nodes are at least as far
-    apart as their distances to the bucket's first hub differ.
+    apart as their distances to the bucket's first hub differ. The nodes outside the main component are dealt in blocks of about ``REST_BLOCK``, so a large bucket is the work of many tasks.
     """
+    blocks = apart.groupBy("key").agg(F.ceil(F.count("*") / REST_BLOCK).cast("int").alias("blocks"))
     nodes = members.select("node").distinct()
     left = written(texts.join(nodes, "node", "left_semi"), "left")
     limits = written(_shared_at_most(left, size).join(_outlines(left, size), "node"), "limits")
@@ -303,10 +306,10 @@ def _rest(members: DataFrame, apart: DataFrame, centres: DataFrame | None, tried
     else:
         seen = tried.select(F.col("a").alias("hub"), F.col("b").alias("node"), "similarity").union(tried.select("b", "a", "similarity"))
         far = members.select("key", "node").join(centres, "key").join(seen, ["hub", "node"]).select("key", "node", (1 - F.col("similarity")).alias("far"))
-    known = members.join(far, ["key", "node"], "left").join(limits, "node").select("key", "node", "root", "main", "n", "most", "far", "outline")
+    known = members.join(blocks, "key").join(far, ["key", "node"], "left").join(limits, "node").select("key", "blocks", "node", "root", "main", "n", "most", "far", "outline")
     known = written(known, "rest")
-    one = known.where("root <> main").select("key", *(F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
-    other = known.select("key", "main", *(F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
+    one = known.where("root <> main").select("key", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), *(F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
+    other = known.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "main", *(F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "most", "far", "outline")))
     small = 1e-9
 
     def enough(overlap):
@@ -316,7 +319,7 @@ def _rest(members: DataFrame, apart: DataFrame, centres: DataFrame | None, tried
     bits = F.zip_with("a_outline", "b_outline", lambda x, y: F.coalesce(F.bit_count(x.bitwiseAND(y)), F.lit(0)))
     in_outline = enough(F.aggregate(bits, F.lit(0), lambda total, n: total + n))
     near = F.coalesce(F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + small, F.lit(True))
-    met = one.join(other, "key").where((F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node"))) & F.when(can_share & near, in_outline).otherwise(False))
+    met = one.join(other, ["key", "block"]).where((F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node"))) & F.when(can_share & near, in_outline).otherwise(False))
     return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 

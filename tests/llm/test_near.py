@@ -99,6 +99,19 @@ def test_hot_group_and_shared_passage(spark):
         assert [got[i] for i in range(len(texts))] == want
 
 
+def test_rest_is_the_same_in_blocks(spark, monkeypatch):
+    """A bucket dealt over many blocks has the links of one that is a single block."""
+    monkeypatch.setattr(near, "REST_BLOCK", 5)
+    rng = random.Random(22)
+    hot = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    texts = [edited(rng, hot, rng.randrange(0, 9)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_classes(texts)
+    for rounds in (0, 1):
+        got = {r["id"]: r["class_id"] for r in near.find(docs, rounds=rounds).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_repeated_rows_and_nulls(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "A b c d e f"), (None, None), (None, None), (2, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
