@@ -92,6 +92,14 @@ def test_buffer_ring(cells):
     assert sizes[(0, 0)] == 25 and sizes[(1, 1)] == 36 and sizes[(1, 0)] == 30 and len(sizes) == 9
 
 
+def test_buffer_leaves_out_cells_off_the_layer(cells):
+    """Only cells of the layer and within the ring around it are in a tile; none steps down to the last tile."""
+    layer = cells({(3, 3): 1, (3, -1): 1, (3, -2): 1, (3, 12): 1, (3, 13): 1, (3, 50): 1, (50, 3): 1, (-9, 3): 1})
+    rows = focal.buffer_tiles(layer, GRID, 1).collect()
+    assert {(r["gx"], r["gy"]) for r in rows} == {(3, 3), (3, -1), (3, 12)}
+    assert all(abs(r["tile_row"] * GRID.tile_size + 1.5 - r["gy"]) <= 3.5 for r in rows)
+
+
 def test_regrid_identity_and_up(cells, as_dict):
     values = {(x, y): x + 100 * y for x in range(12) for y in range(12)}
     assert as_dict(warp.regrid(cells(values), GRID, GRID)) == values
