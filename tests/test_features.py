@@ -150,6 +150,16 @@ def test_burn_order(spark):
     assert {r["gx"]: r["value"] for r in raster.burn(cells).collect()} == {0: 9.0, 1: -2.0}
 
 
+def test_open_rings_and_equal_crossings(spark):
+    """Equal crossings cancel in pairs; one left over fills nothing."""
+    upright = [(x, 19.9, x, 18.1) for x in (2.2, 5.2, 5.3, 9.2)] + [(x, 17.9, x, 16.1) for x in (2.2, 5.2, 5.3)]
+    rows = edges(spark, upright, "polygon").withColumn("feature_id", F.floor(F.col("feature_id") / 100))
+    got = {(r["gx"], r["gy"]) for r in raster.rasterize_polygons(rows, GRID).collect()}
+    assert got == {(x, y) for x in range(2, 9) for y in (0, 1)}
+    plan = raster.rasterize_polygons(rows, GRID)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
 def test_stream_orders(spark):
     rows = [("336", "0"), ("336", "7"), ("460", "6"), ("558", "1"), ("336", ""), ("336", None), ("460", "-9"), (None, "2"), ("336", "x")]
     flow = spark.createDataFrame(rows, "ftype string, stream_order string")
