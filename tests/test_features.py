@@ -150,6 +150,14 @@ def test_burn_order(spark):
     assert {r["gx"]: r["value"] for r in raster.burn(cells).collect()} == {0: 9.0, 1: -2.0}
 
 
+def test_burn_order_by_hash(spark):
+    """Maxima by z sort no cells; unknown z and values lose."""
+    rows = [(0, 0, 5.0, None), (0, 0, 9.0, None), (1, 0, None, 3.0), (1, 0, 4.0, 2.0), (2, 0, 1.0, 0.0), (2, 0, 2.0, -0.0), (3, 0, None, None), (4, 0, 7.0, float("nan")), (4, 0, 8.0, 1e9), (5, 0, 6.0, 1.0), (5, 0, 99.0, None)]
+    burnt = raster.burn(spark.createDataFrame(rows, "gx int, gy int, value double, z double"), "z")
+    assert "SortAggregate" not in burnt._jdf.queryExecution().executedPlan().toString()
+    assert {r["gx"]: r["value"] for r in burnt.collect()} == {0: 9.0, 1: None, 2: 2.0, 3: None, 4: 7.0, 5: 6.0}
+
+
 def test_open_rings_and_equal_crossings(spark):
     """Equal crossings cancel in pairs; one left over fills nothing."""
     upright = [(x, 19.9, x, 18.1) for x in (2.2, 5.2, 5.3, 9.2)] + [(x, 17.9, x, 16.1) for x in (2.2, 5.2, 5.3)]
