@@ -24,6 +24,8 @@ from paceway.sources.tiles import _files
 # numbers of the format (fixed values): file code, version, header bytes, bytes of an index entry, shape types
 FILE_CODE, VERSION, HEADER, ENTRY = 9994, 1000, 100, 8
 NO_SHAPE, LINE, LINE_TYPES = 0, 3, (3, 13, 23)
+# records of a batch that are Python objects at a time
+SLICE = 500
 POINTS = "array<struct<part:int,lon:double,lat:double>>"
 
 
@@ -150,49 +152,53 @@ def write_lines(lines: DataFrame, folder: str, fields: dict[str, tuple[str, int]
         import pyarrow as pa
 
         fs, base = place(staging)
-        shapes, index, rows, boxes = [], [], [], []
-        size, made = HEADER, []
+        # the bytes as they go to the files, and the box of them; no object is kept for a record
+        shapes, index, rows, around = bytearray(), bytearray(), bytearray(), []
+        records, made = 0, []
 
         def header(length):
-            x0, y0, x1, y1 = (*np.min(boxes, axis=0)[:2], *np.max(boxes, axis=0)[2:]) if boxes else (0.0,) * 4
+            x0, y0, x1, y1 = around or (0.0,) * 4
             return struct.pack(">7i", FILE_CODE, 0, 0, 0, 0, 0, length // 2) + struct.pack("<2i8d", VERSION, LINE, x0, y0, x1, y1, 0, 0, 0, 0)
 
         def close():
-            nonlocal size
+            nonlocal records
             fs.create_dir(base, recursive=True)
             stem = f"{base}/{uuid.uuid4().hex}"
             columns = b"".join(label.encode("ascii").ljust(11, b"\0") + b"C" + bytes(4) + bytes([width]) + bytes(15) for label, width in labels)
-            table = struct.pack("<4BIHH20x", 3, 100, 1, 1, len(rows), 32 + len(columns) + 1, 1 + sum(w for _, w in labels))
-            for end, parts in (("dbf", [table, columns, b"\r", *rows, b"\x1a"]), ("shp", [header(size), *shapes]), ("shx", [header(HEADER + ENTRY * len(index)), *index])):
+            table = struct.pack("<4BIHH20x", 3, 100, 1, 1, records, 32 + len(columns) + 1, 1 + sum(w for _, w in labels))
+            for end, parts in (("dbf", [table, columns, b"\r", rows, b"\x1a"]), ("shp", [header(HEADER + len(shapes)), shapes]), ("shx", [header(HEADER + len(index)), index])):
                 with fs.open_output_stream(f"{stem}.{end}") as out:
-                    out.write(b"".join(parts))
-            made.append((stem, len(rows)))
-            for held in (shapes, index, rows, boxes):
+                    for part in parts:
+                        out.write(part)
+            made.append((stem, records))
+            for held in (shapes, index, rows, around):
                 held.clear()
-            size = HEADER
+            records = 0
 
         for batch in batches:
-            for points, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for points, *values in (row for at in range(0, batch.num_rows, SLICE) for row in zip(*(c.slice(at, SLICE).to_pylist() for c in batch.columns), strict=True)):
                 body = struct.pack("<i", NO_SHAPE)
                 if points:
                     xy = np.array([(p["lon"], p["lat"]) for p in points], "<f8")
                     numbers = np.array([p["part"] for p in points])
                     firsts = np.flatnonzero(np.diff(numbers, prepend=numbers[0] - 1)).astype("<i4")
-                    boxes.append((*xy.min(axis=0), *xy.max(axis=0)))
-                    body = struct.pack("<i4d2i", LINE, *boxes[-1], len(firsts), len(xy)) + firsts.tobytes() + xy.tobytes()
+                    box = [float(v) for v in (*xy.min(axis=0), *xy.max(axis=0))]
+                    body = struct.pack("<i4d2i", LINE, *box, len(firsts), len(xy)) + firsts.tobytes() + xy.tobytes()
                 row = b" "
                 for (label, width), value in zip(labels, values, strict=True):
                     data = (value or "").encode()
                     if len(data) > width:
                         raise ValueError(f"{value!r} is longer than the {width} bytes of field {label}")
                     row += data.ljust(width)
-                if shapes and size + 8 + len(body) > roll_bytes:
+                if records and HEADER + len(shapes) + 8 + len(body) > roll_bytes:
                     close()
-                index.append(struct.pack(">2i", size // 2, len(body) // 2))
-                shapes.append(struct.pack(">2i", len(shapes) + 1, len(body) // 2) + body)
-                rows.append(row)
-                size += 8 + len(body)
-        if shapes:
+                if points:
+                    around[:] = [*np.minimum(around[:2], box[:2]), *np.maximum(around[2:], box[2:])] if around else box
+                records += 1
+                index += struct.pack(">2i", (HEADER + len(shapes)) // 2, len(body) // 2)
+                shapes += struct.pack(">2i", records, len(body) // 2) + body
+                rows += row
+        if records:
             close()
         stems, counts = zip(*made, strict=True) if made else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array(counts, pa.int64())], names=["stem", "records"])
