@@ -1,3 +1,5 @@
+import math
+
 from pyspark.sql import functions as F
 
 from paceway.meta import LATLNG, LayerMeta
@@ -158,6 +160,33 @@ def test_burn_order_by_hash(spark):
     assert {r["gx"]: r["value"] for r in burnt.collect()} == {0: 9.0, 1: None, 2: 2.0, 3: None, 4: 7.0, 5: 6.0}
 
 
+def test_line_pieces_stay_on_the_layer(spark, monkeypatch):
+    """Steps off the layer are left out before cells are made, whatever way an edge takes past it."""
+    import random
+
+    rng = random.Random(5)
+    near = [tuple(rng.uniform(-60, 80) for _ in range(4)) for _ in range(300)]
+    far = [(0.5, -3e6, 19.5, 3e6), (-2e6, 3.5, 2e6, 3.5), (-2e6, -2e6, 2e6, 2e6 + 40), (5.5, 900.5, 5.5, -900.5), (40.5, -9e5, 40.5, 9e5), (3.5, 30.5, 3.5, 30.5)]
+    lines = edges(spark, near + far)
+    for steps in (256, 7):
+        monkeypatch.setattr(raster, "STEPS", steps)
+        pieces = raster._line_pieces(lines, GRID, ()).selectExpr("feature_id", "last - first + 1 as steps").collect()
+        assert max(p["steps"] for p in pieces) <= steps
+        made = {i: sum(p["steps"] for p in pieces if p["feature_id"] == i) for i in (300, 301, 302, 303)}
+        assert all(0 < m <= 20 + 2 * steps for m in made.values())
+        assert not any(p["feature_id"] in (304, 305) for p in pieces)
+        want = set()
+        for i, (x0, y0, x1, y1) in enumerate(near):
+            (c0, r0), (c1, r1) = ((math.floor(x), math.floor(20 - y)) for x, y in ((x0, y0), (x1, y1)))
+            n = max(abs(c1 - c0), abs(r1 - r0), 1)
+            for k in range(n + 1):
+                c, r = ((2 * k * (b - a) + n) // (2 * n) + a for a, b in ((c0, c1), (r0, r1)))
+                if 0 <= c < 20 and 0 <= r < 20:
+                    want.add((i, c, r))
+        got = {tuple(r) for r in raster.rasterize_lines(lines, GRID).collect() if r["feature_id"] < 300}
+        assert got == want
+
+
 def test_open_rings_and_equal_crossings(spark):
     """Equal crossings cancel in pairs; one left over fills nothing."""
     upright = [(x, 19.9, x, 18.1) for x in (2.2, 5.2, 5.3, 9.2)] + [(x, 17.9, x, 16.1) for x in (2.2, 5.2, 5.3)]
