@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -32,3 +33,58 @@ def test_adjusted_cost_brings_cover_to_the_road_layout(spark):
 
     want = base(on_grid)
     assert want and base(on_coarse, cover_meta=coarse) == want
+
+
+ROADS_AT = {1: (-71.99, 41.99), 2: (-71.93, 41.975), 3: (-71.8, 41.99), 4: (-71.7, 41.972)}
+FAR_AT = {5: (-71.9, -120.25), 6: (-71.8, -158.0041667)}
+
+
+def snapshot(spark, path, places):
+    """Elements stored as ORC: nodes at ``places``, and for each two that follow one another a road."""
+    nodes = [(i, "node", {}, lat, lon, None) for i, (lon, lat) in places.items()]
+    ways = [(100 + a, "way", {"highway": "primary", "maxspeed": "50"}, None, None, [(a,), (b,)]) for a, b in ((1, 2), (2, 3), (3, 4), (5, 6)) if b in places]
+    rows = spark.createDataFrame(nodes + ways, "id long, type string, tags map<string,string>, lat double, lon double, nds array<struct<ref:long>>")
+    shaped = ((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in osm.ELEMENTS.fields)
+    rows.select(*shaped).write.orc(path)
+    return osm.read_osm(spark, path)
+
+
+def _ground(spark):
+    return spark.createDataFrame([(x, y, 10.0 + (3 * x + y) % 7) for x in range(50) for y in range(4)], "gx int, gy int, value double")
+
+
+def _points(spark):
+    return spark.createDataFrame([(1, -71.99, 41.99), (2, -71.75, 41.98)], "pt_id long, lon double, lat double")
+
+
+def _adjusted(spark, elements):
+    cover = _ground(spark).withColumn("value", F.lit(21.0))
+    flows = spark.createDataFrame([(1, [1, 4], "460", "2")], "way_id long, refs array<long>, ftype string, stream_order string")
+    return jobs.adjusted_travel_cost(elements, _ground(spark), cover, flows, _points(spark), fx.GRID, fx.MASK, layout=fx.GRID, max_cost=1.0)
+
+
+def _travel(spark, elements):
+    return jobs.travel_cost(elements, _ground(spark), _points(spark), fx.GRID, layout=fx.ROADS, extent=fx.GRID.extent, first=6, max_cost=1.0)
+
+
+JOBS = {
+    "job_adjusted_friction": _adjusted,
+    "job_cost_distance": _travel,
+    "job_friction_pyramid": lambda spark, e: jobs.friction_pyramid(e, _ground(spark), fx.GRID, partitions=8),
+    "job_presence": lambda spark, e: jobs.presence_layer(e, fx.ROADS, partitions=8),
+}
+
+
+@pytest.mark.parametrize("name", JOBS)
+def test_nodes_far_off_the_map_change_nothing(spark, tmp_path, monkeypatch, name):
+    """A snapshot with a road beyond latitude -99 is stored and read whole, and gives what the same snapshot gives without that road. Of the cost jobs, the friction that goes into the cost distance."""
+    monkeypatch.setattr(jobs, "_cost_of", lambda friction, points, meta, *_: jobs.Surface(friction, meta))
+
+    def rows(folder, places):
+        out = JOBS[name](spark, snapshot(spark, f"{tmp_path}/{folder}", places))
+        found = sorted((r["gx"], r["gy"], r["value"]) for r in out.base.where(F.col("value").isNotNull()).collect())
+        out.release()
+        return found
+
+    want = rows("near", ROADS_AT)
+    assert want and rows("far", ROADS_AT | FAR_AT) == want
