@@ -76,3 +76,56 @@ def test_long_edges_and_tall_rings_make_few_rows(spark):
     assert rings.where("plain").count() == 3 and raster._ring_runs(rings, meta, ("value",)).count() <= 16
     layer = raster.rasterize_features(ways, meta, lines_only=True)
     assert layer.count() > 100_000 and layer.agg(F.max("value")).first()[0] == 2.0
+
+
+def _mixed(rnd, meta, n):
+    """Rings as in the test of covered cells; features that are no ring, come twice or have no id."""
+    rows = []
+    for i in range(n):
+        points = [_corner(rnd, meta) for _ in range(rnd.choice((3, 4, 6)))]
+        if i % 5 == 0:
+            points.append((points[-1][0] + rnd.choice((0.0, 1e-13, 1e-9)), _corner(rnd, meta)[1]))
+        if i % 7 == 0:
+            points.insert(1, (_corner(rnd, meta)[0], points[0][1]))  # an edge along a row
+        if i % 11 == 0:
+            points[2] = points[1]
+        ring = _chain(None if i == 14 else i, [*points, points[0]], i)
+        if i % 10 == 1:
+            ring = ring[1:]
+        if i % 10 == 2:
+            ring = [(*e[:1], None, *e[2:]) for e in ring]
+        if i % 10 == 4:
+            ring = [(*e[:1], len(ring) - e[1], *e[4:6], *e[2:4], *e[6:]) for e in ring]  # the other way round
+        rows += ring * (2 if i % 10 == 3 else 1)
+    return rows
+
+
+@pytest.mark.parametrize("name", LAYERS)
+@pytest.mark.parametrize("steps", (4, 256))
+def test_counted_cells_of_polygons_equal_their_rows(spark, monkeypatch, name, steps):
+    meta = LAYERS[name]
+    edges = spark.createDataFrame(_mixed(random.Random(steps + 1), meta, 120), EDGES)
+    edges = edges.withColumn("weight", F.when(F.col("feature_id") % 3 > 0, F.col("feature_id") - 50))
+    rows = raster.rasterize_polygons(edges, meta, ("weight",)).groupBy("gx", "gy")
+    want = {tuple(r) for r in rows.agg(F.count("*"), F.sum("feature_id"), F.sum("weight")).collect()}
+    monkeypatch.setattr(raster, "STEPS", steps)
+    counted = raster.rasterize_polygons(edges, meta, ("weight",), totals=("feature_id", "weight"))
+    assert counted.columns == ["gx", "gy", "n", "feature_id", "weight"]
+    got = [tuple(r) for r in counted.collect()]
+    assert want and len(got) == len(want) and set(got) == want
+    alone = spark.createDataFrame([e for e in edges.select(*EDGES.replace(",", "").split()[::2]).collect() if e["feature_id"] is None], EDGES)
+    assert {r["feature_id"] for r in raster.rasterize_polygons(alone, meta, totals=("feature_id",)).collect()} == {None}
+
+
+@pytest.mark.parametrize("side", ("tall", "wide"))
+def test_counting_large_polygons_makes_few_rows(spark, side):
+    """Areas of millions of cells on one another are counted from a few rows for each line of their shorter side."""
+    tall = LayerMeta(LATLNG, 0.0, 0.0, 8.0, 100_000.0, 1.0, 1.0, 256)
+    meta = tall if side == "tall" else LayerMeta(LATLNG, 0.0, 0.0, 100_000.0, 8.0, 1.0, 1.0, 256)
+    turned = lambda points: points if side == "tall" else [(y, x) for x, y in points]
+    rows = [e for i in range(400) for e in _chain(i, turned([(0.2, 1.0 + i), (6.7, 99_990.0 - i), (7.4, 5.0 + i), (0.2, 1.0 + i)]), i)]
+    edges = spark.createDataFrame(rows, EDGES)
+    rings = raster._rings(edges, meta, ())
+    assert rings.where("plain").count() == 1200 and raster._ring_runs(rings, meta, ()).count() <= 400 * 16
+    out = raster.rasterize_polygons(edges, meta, totals=("feature_id",)).agg(F.count("*"), F.max("n"), F.max("feature_id"), F.sum("n")).first()
+    assert out[0] > 50_000 and out[1] == 400 and out[2] == 399 * 200 and out[3] > 20_000_000
