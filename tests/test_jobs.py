@@ -88,3 +88,28 @@ def test_nodes_far_off_the_map_change_nothing(spark, tmp_path, monkeypatch, name
 
     want = rows("near", ROADS_AT)
     assert want and rows("far", ROADS_AT | FAR_AT) == want
+
+
+def test_six_sources_reach_the_whole_map(spark, tmp_path):
+    """The job of the wide region goes on until its sources' costs cover the friction surface, here level ground of 200 rows without roads but for one of two nodes."""
+    from checks import queries
+
+    tables = {
+        "part": spark.range(10000).selectExpr("id as p_partkey", "5 as p_size", "1e0 as p_retailprice"),
+        "supplier": spark.range(9).selectExpr("id as s_suppkey"),
+        "orders": spark.range(10, 11).selectExpr("id as o_orderkey", "'5-LOW' as o_orderpriority"),
+        "lineitem": spark.range(2).selectExpr("10L as l_orderkey", "cast(id as int) as l_linenumber", "id * 60 as l_partkey", "1e0 as l_extendedprice", "id as l_suppkey"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def base_cells(query):
+        rows = query(spark, str(tmp_path)).where("zoom = 8").collect()
+        friction, cost = ({(r["gx"], r["gy"]): r["value"] for r in rows if r["layer"] == layer} for layer in ("friction", "cost"))
+        return friction, cost
+
+    friction, cost = base_cells(queries.job_cost_distance_6)
+    assert len(friction) > 10000 and cost.keys() == friction.keys()
+    assert 100 * fx.JOB_CAP > max(cost.values()) > 20 * fx.JOB_CAP
+    near = base_cells(queries.job_cost_distance)[1]
+    assert near and max(near.values()) <= fx.JOB_CAP  # its cap is its own
